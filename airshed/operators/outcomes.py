@@ -29,10 +29,9 @@ def unpivot_weeks(df: DataFrame) -> DataFrame:
     Missing numbers and weeks the year does not have are dropped.
     """
     long = unpivot_matching(df, WEEK_COLUMN, "year_week", "deaths")
-    label = F.regexp_replace("year_week", "`", "")
     long = long.withColumns({
-        "year": F.substring(label, 1, 4).try_cast("int"),
-        "week": F.substring(label, 6, 2).try_cast("int"),
+        "year": F.substring("year_week", 1, 4).cast("int"),
+        "week": F.substring("year_week", 6, 2).cast("int"),
     })
     long = long.withColumn("date", fx.iso_monday(F.col("year"), F.col("week")))
     return long.dropna(subset=["deaths", "date"]).drop("year_week")
@@ -41,8 +40,7 @@ def unpivot_weeks(df: DataFrame) -> DataFrame:
 def unpivot_years(df: DataFrame, value: str = "deaths") -> DataFrame:
     """Year columns ``YYYY`` to rows; missing numbers are dropped."""
     long = unpivot_matching(df, YEAR_COLUMN, "year", value)
-    year = F.regexp_replace("year", "`", "").try_cast("int")
-    return long.withColumn("year", year).dropna(subset=[value])
+    return long.withColumn("year", F.col("year").cast("int")).dropna(subset=[value])
 
 
 def weekly_deaths(wide: DataFrame) -> DataFrame:
@@ -141,7 +139,7 @@ def regions_by_box(stations: DataFrame, boxes: DataFrame, cell: float = 1.0) ->
     inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col(
         "longitude"
     ).between(F.col("west"), F.col("east"))
-    area = (F.col("north") - F.col("south")) * (F.col("east") - F.col("west"))
+    area = F.round((F.col("north") - F.col("south")) * (F.col("east") - F.col("west")), 9)
     hits = salted_left_join(placed, listed, ["cy", "cx"], ["station_id"]).select(
         "station_id", F.when(inside, area).alias("area"),
         F.when(inside, F.col("nuts3_code")).alias("nuts3_code"),

@@ -398,8 +398,7 @@ def station_region(t: Inputs) -> DataFrame:
     boxes = t.spark.sql(BOXES, supplier=t.table("supplier")).select(
         "nuts3_code", *[F.round(F.col(c).cast("double"), 6).alias(c)
                         for c in ("south", "north", "west", "east")])
-    same_size = boxes  # areas differ by rounding noise only, so the code decides
-    return oc.regions_by_box(t.stations, same_size, cell=0.25)
+    return oc.regions_by_box(t.stations, boxes, cell=0.25)
 
 
 # --- summaries ----------------------------------------------------------------------------

@@ -11,7 +11,10 @@ from pyspark.sql import types as T
 from airshed.registry.inputs import Inputs
 from airshed.registry.sql import with_ctes
 
+# Doubles are compared at six digits.  Means of short decimals can fall exactly on a
+# rounding tie, where engines differ by the last bit; both sides move up by TIE first.
 DIGITS = 6
+TIE = 1e-10
 
 
 @dataclass(frozen=True)
@@ -32,7 +35,7 @@ def query(sql: str | None = None, rounded: str = ""):
     def register(function: Callable[[Inputs], DataFrame]):
         text = None
         if sql is not None:
-            replaced = ", ".join(f"round({c}, {DIGITS}) + 0.0 as {c}" for c in rounded.split())
+            replaced = ", ".join(f"round({c} + {TIE}, {DIGITS}) + 0.0 as {c}" for c in rounded.split())
             body = f"select * replace ({replaced}) from ({sql}) q" if replaced else sql
             text = with_ctes(body)
         REGISTRY[function.__name__] = Query(function, text)
@@ -43,7 +46,7 @@ def query(sql: str | None = None, rounded: str = ""):
 
 def rounded_doubles(df: DataFrame) -> DataFrame:
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), DIGITS).alias(f.name)
+        F.round(F.col(f"`{f.name}`") + TIE, DIGITS).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])

@@ -161,6 +161,10 @@ CTES = {
         left join fx_population p on p.nuts3_code = r.nuts3_code""",
 }
 
+# The same panel with a higher limit, so that some regions stay untreated.
+CTES["runs_high"] = CTES["runs"].replace("> 25", "> 45")
+CTES["panel_high"] = CTES["panel"].replace("runs", "runs_high")
+
 
 def _duck(name: str) -> str:
     tables = ["events", "lineitem", "orders", "customer"]
