@@ -9,6 +9,7 @@ from airshed.functions import columns as fx
 from airshed.operators import regression as rg
 from airshed.operators import summary
 from airshed.operators.ordered import sums_in_ranges
+from airshed.session import cut_lineage
 
 COVARIATES = ["temp_2m", "wind_speed", "precipitation", "boundary_layer_height"]
 
@@ -25,9 +26,10 @@ def treated_weeks(runs: DataFrame) -> DataFrame:
 def panel(days: DataFrame, weekly: DataFrame, population: DataFrame,
           limit: float = fv.EU_DAILY_LIMIT, min_days: int = 3) -> DataFrame:
     """One row per region and ISO week: exposure, weather, treatment, outcome rate."""
-    exposure = summary.region_week_exposure(days)
+    totals = summary.region_day_totals(days)
+    exposure = summary.weekly_means(totals)
     exposure = exposure.withColumn("monday", fx.iso_monday(F.col("iso_year"), F.col("iso_week")))
-    runs = summary.episodes(summary.region_days(days), limit, min_days)
+    runs = summary.episodes(summary.daily_means(totals), limit, min_days)
     treated = treated_weeks(runs).withColumn("treated", F.lit(1))
     outcome = weekly.groupBy("nuts3_code", F.col("date").alias("monday")).agg(
         F.sum("deaths").alias("deaths")
@@ -65,7 +67,9 @@ def match_controls(panel_rows: DataFrame, base: DataFrame, band: float = 0.20) -
     is within the band around the treated one's.  Counts and mean outcome come
     from running totals over the baselines; treated and controls are not paired.
     """
-    rows = panel_rows.join(base, ["nuts3_code", "monday"]).filter(F.col("baseline").isNotNull())
+    joined = panel_rows.join(base, ["nuts3_code", "monday"])
+    # Points and ranges both come from these rows; keep them so they are made once.
+    rows = cut_lineage(joined.filter(F.col("baseline").isNotNull()))
     keys = ["country_code", "monday"]
     controls = rows.filter(F.col("treated") == 0)
     wanted = rows.filter(F.col("treated") == 1).select(
@@ -206,8 +210,9 @@ def cate_by_group(rows: DataFrame, modifier: str, y: str = "rate_per_100k", d: s
     slope between the two residuals within each group.
     """
     controls = COVARIATES if controls is None else controls
-    complete = rows.dropna(subset=[y, d, modifier, *controls])
-    folded = complete.withColumn("_fold", _fold("nuts3_code", folds))
+    complete = rows.select("nuts3_code", y, d, modifier, *[c for c in controls if c != modifier])
+    complete = complete.dropna(subset=[y, d, modifier, *controls])
+    folded = cut_lineage(complete.withColumn("_fold", _fold("nuts3_code", folds)))
 
     def residual(target: str) -> Column:
         fits = rg.fold_fits(folded, "_fold", folds, target, controls)

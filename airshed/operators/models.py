@@ -8,6 +8,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from airshed.session import cut_lineage
+
 TARGET = "pm25_exceedance_t1"
 
 
@@ -47,6 +49,8 @@ def train(df: DataFrame, features: list[str], target: str = TARGET, kind: str =
     )
     if kind != "gbt":
         used = used.filter(~F.col("is_validation"))
+    # Fitting reads the rows many times; keep them so the features are made once.
+    used = cut_lineage(used)
     stages = [VectorAssembler(inputCols=features, outputCol="features"),
               classifier(kind, rounds)]
     return Pipeline(stages=stages).fit(used)

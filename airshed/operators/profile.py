@@ -188,19 +188,16 @@ def histogram(df: DataFrame, column: str, bins: int = 60, by: str | None = None)
     """
     keys = [by] if by else []
     known = df.filter(fx.all_of([F.col(c).isNotNull() for c in [*keys, column]]))
-    counted = known.select(*keys, column).groupBy(*keys, column).agg(F.count("*").alias("n"))
     span = known.agg(F.min(column).alias("low"), F.max(column).alias("high"))
     low, high = span.select("low").scalar(), span.select("high").scalar()
-    binned = counted.select(*keys, "n", low.alias("low"), high.alias("high"),
-                            _bin(F.col(column), low, high, bins).alias("bin"))
-    grouped = binned.groupBy(*keys, "bin").agg(
-        F.sum("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high")
-    )
-    width = (F.col("high") - F.col("low")) / bins
+    place = _bin(F.col(column), low, high, bins).alias("bin")
+    grouped = known.groupBy(*keys, place).agg(F.count("*").alias("n"))
+    width = (high - low) / bins
+    # One row per class and bin, so this window is short.
     whole = F.sum("n").over(Window.partitionBy(*keys))
-    return grouped.select(
-        *keys, "bin", (F.col("low") + F.col("bin") * width).alias("bin_start"), "n",
-        fx.ratio(F.col("n"), whole * width).alias("density"),
+    return grouped.select(*keys, "bin", "n", whole.alias("whole")).select(
+        *keys, "bin", (low + F.col("bin") * width).alias("bin_start"), "n",
+        fx.ratio(F.col("n"), F.col("whole") * width).alias("density"),
     )
 
 

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from airshed.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class Moments:
@@ -66,8 +68,14 @@ def _matrices(rows, width: int) -> dict[int, np.ndarray]:
 
 
 def moments(df: DataFrame, columns: list[str]) -> Moments:
-    """Moments over the rows that have all columns.  Centring keeps the sums accurate."""
-    complete = df.select(*columns).dropna()
+    """Moments over the rows that have all columns.  Centring keeps the sums accurate.
+
+    The rows are read twice, so they are kept in the shared folder in between.
+    """
+    return _moments(cut_lineage(df.select(*columns).dropna()), columns)
+
+
+def _moments(complete: DataFrame, columns: list[str]) -> Moments:
     first = complete.agg(F.count("*").alias("n"), *[
         F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)
     ]).first()
@@ -142,7 +150,8 @@ def two_way_fit(panel: DataFrame, y: str, x: list[str], entity: str, period: Col
     own = Window.partitionBy(entity)
     columns = [y, *x, *weeks]
     within = full.select(entity, *[(F.col(c) - F.avg(c).over(own)).alias(c) for c in columns])
-    m = moments(within, columns)
+    within = cut_lineage(within)
+    m = _moments(within, columns)
     terms = [*x, *weeks]
     bread = np.linalg.pinv(m.block(terms, terms), hermitian=True)
     beta = bread @ m.block(terms, [y])[:, 0]
@@ -150,9 +159,12 @@ def two_way_fit(panel: DataFrame, y: str, x: list[str], entity: str, period: Col
     scores = within.withColumn("_e", error).groupBy(entity).agg(
         *[F.sum(F.col(c) * F.col("_e")).alias(c) for c in terms]
     )
-    summed = cross_products(scores, terms, [0.0] * len(terms)).collect()
-    meat = _matrices(summed, len(terms)).get(0, np.zeros((len(terms), len(terms))))
-    clusters = scores.count()
+    # The extra column of ones counts the clusters in the same pass.
+    counted = scores.withColumn("_one", F.lit(1.0))
+    summed = cross_products(counted, [*terms, "_one"], [0.0] * (len(terms) + 1)).collect()
+    width = len(terms) + 1
+    whole = _matrices(summed, width).get(0, np.zeros((width, width)))
+    meat, clusters = whole[:-1, :-1], whole[-1, -1]
     factor = clusters / max(clusters - 1, 1)
     return Fit(terms, beta, factor * bread @ meat @ bread, m.n)
 
@@ -180,9 +192,9 @@ def two_stage(m: Moments, y: str, d: str, instruments: list[str],
 
     wide, narrow = unexplained(d, z), unexplained(d, controls)
     q, rest = len(instruments), max(m.n - len(z) - 1, 1)
-    first_stage_f = ((narrow - wide) / q) / (wide / rest) if wide > 0 else float("nan")
+    first_stage_f = float((narrow - wide) / q / (wide / rest)) if wide > 0 else float("nan")
     ze = zy - zx @ beta
-    sargan = float(ze @ zz @ ze) / (residual / m.n) if residual > 0 else float("nan")
+    sargan = float(ze @ zz @ ze / (residual / m.n)) if residual > 0 else float("nan")
     plain = ols(m, y, x)
     return {
         "iv": float(beta[0]), "iv_se": se, "ols": float(plain.beta[0]),

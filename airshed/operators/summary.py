@@ -23,30 +23,48 @@ def station_year(df: DataFrame) -> DataFrame:
     )
 
 
-def region_days(df: DataFrame) -> DataFrame:
-    """Mean PM2.5 of a region's stations per day; needs nuts3_code."""
+EXPOSURES = ["pm25_mean", "temp_2m", "wind_speed", "precipitation", "boundary_layer_height"]
+
+
+def region_day_totals(df: DataFrame) -> DataFrame:
+    """Sums and counts per region and day, from which daily and weekly means follow.
+
+    The station-days are read and shuffled once for both; needs nuts3_code.
+    """
+    present = [c for c in EXPOSURES if c in df.columns]
     return (
         df.filter(F.col("nuts3_code").isNotNull())
         .groupBy("nuts3_code", "date")
-        .agg(F.avg("pm25_mean").alias("pm25_mean"))
+        .agg(*[f(c).alias(f"{c}_{name}") for c in present
+               for name, f in (("sum", F.sum), ("n", F.count))])
+    )
+
+
+def daily_means(totals: DataFrame) -> DataFrame:
+    mean = fx.ratio(F.col("pm25_mean_sum"), F.col("pm25_mean_n"))
+    return totals.select("nuts3_code", "date", mean.alias("pm25_mean"))
+
+
+def weekly_means(totals: DataFrame) -> DataFrame:
+    present = [c for c in EXPOSURES if f"{c}_n" in totals.columns]
+    return totals.groupBy(
+        "nuts3_code",
+        fx.iso_year(F.col("date")).alias("iso_year"),
+        F.weekofyear("date").alias("iso_week"),
+    ).agg(
+        *[fx.ratio(F.sum(f"{c}_sum"), F.sum(f"{c}_n")).alias(c) for c in present],
+        F.sum("pm25_mean_n").alias("station_days"),
     )
 
 
+def region_days(df: DataFrame) -> DataFrame:
+    """Mean PM2.5 of a region's stations per day."""
+    return daily_means(region_day_totals(df))
+
+
 def region_week_exposure(df: DataFrame) -> DataFrame:
     """Mean of all station-days of a region in an ISO week, with weather means."""
-    means = ["pm25_mean", "temp_2m", "wind_speed", "precipitation", "boundary_layer_height"]
-    return (
-        df.filter(F.col("nuts3_code").isNotNull())
-        .groupBy(
-            "nuts3_code",
-            fx.iso_year(F.col("date")).alias("iso_year"),
-            F.weekofyear("date").alias("iso_week"),
-        )
-        .agg(
-            *[F.avg(c).alias(c) for c in means if c in df.columns],
-            F.count("pm25_mean").alias("station_days"),
-        )
-    )
+    return weekly_means(region_day_totals(df))
 
 
 def episodes(

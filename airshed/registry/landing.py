@@ -15,7 +15,7 @@ from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
 from airshed.session import scratch_path
 from airshed.sources import manifest as mf
-from airshed.sources.readings import load_readings
+from airshed.sources import readings as sr
 from airshed.sources.sinks import write_partitioned
 from airshed.sources.tables import WHO_FILE, processed_table, who_table
 from airshed.streaming import ingest as si
@@ -36,7 +36,7 @@ def _landing(t: Inputs) -> str:
   count(Value) as n_values, min(cast(Start as date)) as first_date,
   max(cast(Start as date)) as last_date from fx_readings group by 1,2""")
 def load_readings_by_level(t: Inputs) -> DataFrame:
-    return _levels(load_readings(t.spark, _landing(t)))
+    return _levels(sr.load_readings(t.spark, _landing(t)))
 
 
 def _levels(df: DataFrame) -> DataFrame:
@@ -48,8 +48,8 @@ def _levels(df: DataFrame) -> DataFrame:
 
 @query("""select AirQualityStationEoICode, AirPollutant, cast(Start as date) as start_date, Value,
   Validity, verification_level from fx_readings""")
-def load_readings_all(t: Inputs) -> DataFrame:
-    return load_readings(t.spark, _landing(t)).select(
+def load_readings(t: Inputs) -> DataFrame:
+    return sr.load_readings(t.spark, _landing(t)).select(
         "AirQualityStationEoICode", "AirPollutant", F.to_date("Start").alias("start_date"),
         "Value", "Validity", "verification_level",
     )
@@ -143,8 +143,8 @@ def _files(t: Inputs, folder: str) -> DataFrame:
     """Expected files with what was found: rows by one scan, size from the listing."""
     pollutants = t.raw.select(F.col("AirPollutant").alias("pollutant")).distinct()
     expected = ql.expected_files(pollutants, t.raw.select("verification_level").distinct())
-    landed = load_readings(t.spark, folder)
-    name = F.regexp_extract("_metadata.file_path", r"([^/=]+\.parquet)(?:/|$)", 1)
+    landed = sr.load_readings(t.spark, folder)
+    name = F.regexp_extract("_metadata.file_path", sr.NAME_IN_PATH, 1)
     rows = t.spark.read.parquet(f"{folder}/*.parquet").groupBy(name.alias("file_name")).agg(
         F.count("*").alias("n_rows")
     )
