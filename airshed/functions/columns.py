@@ -86,33 +86,5 @@ def near(left: Column, right: Column, rtol: float = 1e-5, atol: float = 1e-8) ->
     return F.coalesce(close, left.isNull() & right.isNull())
 
 
-def order_digits(value: Column) -> dict[str, Column]:
-    """Split a finite double into three integers that sort, in turn, like the value.
-
-    ``high`` holds sign, exponent and the first 10 bits of the mantissa, ``mid``
-    and ``low`` 21 bits each.  Scaling by powers of two is exact, so two values
-    share all three exactly when they are equal.  The digits let a running total
-    over any number of distinct values be split into windows of bounded length.
-    """
-    size = F.abs(value)
-    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022)).cast("double")
-    scaled = size * F.pow(F.lit(2.0), -guess)
-    exponent = F.when(scaled < 1, guess - 1).when(scaled >= 2, guess + 1).otherwise(guess)
-    exponent = F.greatest(exponent, F.lit(-1022.0))
-    mantissa = (size * F.pow(F.lit(2.0), -exponent) - 1) * 1024
-    head = F.floor(mantissa)
-    rest = (mantissa - head) * 2**21
-    mid = F.floor(rest)
-    low = F.floor((rest - mid) * 2**21)
-    sign = F.signum(value).cast("long")
-    zero = value == 0
-    whole = (exponent.cast("long") + 1024) * 1024 + head
-    return {
-        "high": F.when(zero, F.lit(0).cast("long")).otherwise(sign * whole),
-        "mid": F.when(zero, F.lit(0).cast("long")).otherwise(sign * mid),
-        "low": F.when(zero, F.lit(0).cast("long")).otherwise(sign * low),
-    }
-
-
 def all_of(conditions: list[Column]) -> Column:
     return functools.reduce(lambda a, b: a & b, conditions)

@@ -96,7 +96,7 @@ def _weighted(node: Column, weight: Column) -> Column:
 
 
 def interpolate(daily: DataFrame, stations: DataFrame, step: float = fv.GRID_STEP,
-                method: str = "bilinear", salts: int = 16) -> DataFrame:
+                method: str = "bilinear", salts: int = 8) -> DataFrame:
     """Daily grid to station-days by an equi-join on integer node numbers.
 
     A value is null when any node it needs is missing or null.  Many stations may

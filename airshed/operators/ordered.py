@@ -2,7 +2,7 @@
 
 A plain ordered window over all rows would gather them in one task.  Here rows
 are first collapsed to distinct values, then the running total is assembled from
-three levels of digits (``order_digits``): a window never spans more than the
+three levels of digits (``with_order_digits``): a window never spans more than the
 distinct digits below one prefix, at most two million rows, and in practice far
 fewer.  Nothing is sampled, and nothing depends on how Spark cut the partitions.
 """
@@ -12,6 +12,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airshed.functions import columns as fx
+from airshed.session import cut_lineage
+
+
+def with_order_digits(df: DataFrame, value: str) -> DataFrame:
+    """Add three integers that sort, in turn, like the finite double they come from.
+
+    ``_high`` holds sign, exponent and the first 10 bits of the mantissa, ``_mid``
+    and ``_low`` 21 bits each.  Scaling by powers of two is exact, so two values
+    share all three exactly when they are equal.  Each step is a projection of its
+    own, so no intermediate is computed twice.
+    """
+    v, two = F.col(value), F.lit(2.0)
+    df = df.select("*", F.abs(v).alias("_s"))
+    df = df.select("*", F.greatest(F.floor(F.log2("_s")), F.lit(-1022)).cast("double").alias("_g"))
+    df = df.select("*", (F.col("_s") * F.pow(two, -F.col("_g"))).alias("_c"))
+    # The logarithm may be off by one next to a power of two.
+    exponent = F.when(F.col("_c") < 1, F.col("_g") - 1).when(F.col("_c") >= 2, F.col("_g") + 1)
+    exponent = F.greatest(exponent.otherwise(F.col("_g")), F.lit(-1022.0))
+    df = df.select("*", exponent.alias("_e"))
+    df = df.select("*", ((F.col("_s") * F.pow(two, -F.col("_e")) - 1) * 1024).alias("_m"))
+    df = df.select("*", F.floor("_m").alias("_h"))
+    df = df.select("*", ((F.col("_m") - F.col("_h")) * 2**21).alias("_r"))
+    df = df.select("*", F.floor("_r").alias("_f"))
+    sign = F.signum(v).cast("long")
+    whole = (F.col("_e").cast("long") + 1024) * 1024 + F.col("_h")
+    return df.select(
+        "*",
+        (sign * whole).alias("_high"),
+        (sign * F.col("_f")).alias("_mid"),
+        (sign * F.floor((F.col("_r") - F.col("_f")) * 2**21)).alias("_low"),
+    ).drop("_s", "_g", "_c", "_e", "_m", "_h", "_r", "_f")
 
 
 def running_totals(df: DataFrame, keys: list[str], value: str,
@@ -21,6 +52,9 @@ def running_totals(df: DataFrame, keys: list[str], value: str,
     ``w``: its sum on this value, ``w_before``: over smaller values of the same
     keys, ``w_total``: over all values of the same keys.  Rows with a missing key
     or value are left out; values must be finite.
+
+    The distinct values are read by three branches, so they are kept in the shared
+    folder rather than derived three times.
     """
     names = list(weights)
     known = fx.all_of([F.col(c).isNotNull() for c in [*keys, value]])
@@ -29,9 +63,7 @@ def running_totals(df: DataFrame, keys: list[str], value: str,
         .groupBy(*keys, value)
         .agg(*[F.sum(w).alias(name) for name, w in weights.items()])
     )
-    leaf = distinct.select("*", *[
-        d.alias(f"_{name}") for name, d in fx.order_digits(F.col(value)).items()
-    ])
+    leaf = with_order_digits(cut_lineage(distinct), value)
     sums = [F.sum(n).alias(n) for n in names]
     middle = leaf.groupBy(*keys, "_high", "_mid").agg(*sums)
     top = middle.groupBy(*keys, "_high").agg(*sums)

@@ -77,7 +77,7 @@ def main():
     from pyspark.sql import SparkSession
 
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     folder = "/root/testdata/sf0.01"
