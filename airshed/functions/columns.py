@@ -80,6 +80,16 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
+def correlation(left: Column, right: Column) -> Column:
+    """Pearson r over the pairs that are complete; null if either side is constant.
+
+    The built-in ``corr`` raises on a constant side under ANSI rules.
+    """
+    both = left.isNotNull() & right.isNotNull()
+    spread = F.stddev_samp(F.when(both, left)) * F.stddev_samp(F.when(both, right))
+    return ratio(F.covar_samp(left, right), spread)
+
+
 def near(left: Column, right: Column, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
     """Equal within tolerance; two missing values are equal, one is not."""
     close = F.abs(left - right) <= F.lit(atol) + F.lit(rtol) * F.abs(right)

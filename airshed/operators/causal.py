@@ -164,7 +164,7 @@ def iv_wald(rows: DataFrame, y: str, d: str, z: str) -> DataFrame:
 
 def first_stage_f(rows: DataFrame, d: str, z: str, minimum: float = 10.0) -> DataFrame:
     complete = rows.select(d, z).dropna()
-    found = complete.agg(F.corr(z, d).alias("r"), F.count("*").alias("n"))
+    found = complete.agg(fx.correlation(F.col(z), F.col(d)).alias("r"), F.count("*").alias("n"))
     f = fx.ratio(F.col("r") * F.col("r") * (F.col("n") - 2), 1 - F.col("r") * F.col("r"))
     return found.select(f.alias("f"), "n", (f > minimum).alias("strong"))
 

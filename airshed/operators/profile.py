@@ -109,7 +109,8 @@ def _pairs(values: dict[tuple[str, str], tuple[Column, Column]]) -> tuple[list,
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson r of every pair over the rows that have all columns, in one pass."""
     complete = df.select(*columns).dropna()
-    pairs = {(a, b): (F.corr(a, b), F.count("*")) for a, b in combinations(columns, 2)}
+    pairs = {(a, b): (fx.correlation(F.col(a), F.col(b)), F.count("*"))
+             for a, b in combinations(columns, 2)}
     aggregates, rows = _pairs(pairs)
     return complete.agg(*aggregates).select(F.inline(rows))
 
@@ -132,7 +133,9 @@ def instrument_relevance(df: DataFrame, instrument: str = "boundary_layer_height
     """Pearson r of instrument and exposure, t statistic, and |r| against the minimum."""
     both = df.filter(F.col(instrument).isNotNull() & F.col(exposure).isNotNull())
     r, n = F.col("r"), F.col("n")
-    found = both.agg(F.corr(instrument, exposure).alias("r"), F.count("*").alias("n"))
+    found = both.agg(
+        fx.correlation(F.col(instrument), F.col(exposure)).alias("r"), F.count("*").alias("n")
+    )
     t = fx.ratio(r * F.sqrt(n - 2), F.sqrt(1 - r * r))
     return found.select("r", "n", t.alias("t"), (F.abs(r) >= minimum).alias("relevant"))
 
@@ -165,7 +168,7 @@ def simple_fit(df: DataFrame, partners: list[str], y: str = "pm25_mean") -> Data
         both = F.col(x).isNotNull() & F.col(y).isNotNull()
         aggregates += [
             F.regr_slope(y, x).alias(f"s{i}"), F.regr_intercept(y, x).alias(f"i{i}"),
-            F.corr(x, y).alias(f"r{i}"), F.count_if(both).alias(f"n{i}"),
+            fx.correlation(F.col(x), F.col(y)).alias(f"r{i}"), F.count_if(both).alias(f"n{i}"),
         ]
         rows.append(F.struct(
             F.lit(x).alias("x"), F.col(f"s{i}").alias("slope"), F.col(f"i{i}").alias("intercept"),
@@ -223,7 +226,7 @@ def autocorrelation(series: DataFrame, keys: list[str], value: str, lags: int =
         F.lag(value, k).over(w).alias(f"lag{k}") for k in range(1, lags + 1)
     ])
     wide = shifted.groupBy(*keys).agg(*[
-        F.corr(value, f"lag{k}").alias(str(k)) for k in range(1, lags + 1)
+        fx.correlation(F.col(value), F.col(f"lag{k}")).alias(str(k)) for k in range(1, lags + 1)
     ])
     rows = F.array(*[
         F.struct(F.lit(k).alias("lag"), F.col(str(k)).alias("autocorr"))

@@ -127,7 +127,7 @@ def series_checks(df: DataFrame, limit: float = fv.EU_DAILY_LIMIT,
     positive = (F.col("pm25_exceedance_t1") == 1) & F.col("pm25_tomorrow").isNotNull()
     found = rows.agg(
         F.count_if(lag_errors()).alias("lag_errors"),
-        F.corr("pm25_mean", "pm25_mean_rolling7d").alias("r_rolling"),
+        fx.correlation(F.col("pm25_mean"), F.col("pm25_mean_rolling7d")).alias("r_rolling"),
         F.count_if(target_errors(limit)).alias("target_errors"),
         F.count_if(positive).alias("positives"),
         F.count_if(positive & (F.col("pm25_tomorrow") > limit)).alias("right_positives"),
@@ -136,7 +136,7 @@ def series_checks(df: DataFrame, limit: float = fv.EU_DAILY_LIMIT,
         F.count_if(first & (F.col("station_has_gap") == 1)).alias("gap_stations"),
         F.count_if(gap > 1).alias("gaps"),
         F.count_if(gap > 30).alias("long_gaps"),
-        *[F.corr(a, b).alias(f"r_{b}") for a, b in lag_pairs],
+        *[fx.correlation(F.col(a), F.col(b)).alias(f"r_{b}") for a, b in lag_pairs],
         *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n_{b}")
           for a, b in lag_pairs],
     )

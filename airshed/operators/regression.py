@@ -151,7 +151,11 @@ def two_way_fit(panel: DataFrame, y: str, x: list[str], entity: str, period: Col
     columns = [y, *x, *weeks]
     within = full.select(entity, *[(F.col(c) - F.avg(c).over(own)).alias(c) for c in columns])
     within = cut_lineage(within)
-    m = _moments(within, columns)
+    # Means are zero by now, and the column of ones counts the rows in the same pass.
+    wide = [*columns, "_one"]
+    summed = cross_products(within.withColumn("_one", F.lit(1.0)), wide, [0.0] * len(wide))
+    products = _matrices(summed.collect(), len(wide)).get(0, np.zeros((len(wide), len(wide))))
+    m = Moments(columns, int(products[-1, -1]), np.zeros(len(columns)), products[:-1, :-1])
     terms = [*x, *weeks]
     bread = np.linalg.pinv(m.block(terms, terms), hermitian=True)
     beta = bread @ m.block(terms, [y])[:, 0]

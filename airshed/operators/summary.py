@@ -113,7 +113,7 @@ def cross_border_corr(df: DataFrame, countries: list[str] | None = None) -> Data
         value.alias(f"{kind}_{a}_{b}")
         for a, b in pairs
         for kind, value in (
-            ("r", F.corr(a, b)),
+            ("r", fx.correlation(F.col(a), F.col(b))),
             ("n", F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull())),
         )
     ])

@@ -109,6 +109,13 @@ def idw_interp(t: Inputs) -> DataFrame:
     return gr.interpolate(gr.daily_grid(t.grid), t.stations, method="idw")
 
 
+@query("""select station_id, date, t2m, u10, v10, sp, blh, tp, blh_min from (
+  select *, row_number() over (partition by station_id, date order by w desc, latitude, longitude)
+    as k from weights where w > 1e-9) where k = 1""", "t2m u10 v10 sp blh tp blh_min")
+def nearest_interp(t: Inputs) -> DataFrame:
+    return gr.interpolate(gr.daily_grid(t.grid), t.stations, method="nearest")
+
+
 @query("select * from weather", " ".join(WEATHER[:-1]))
 def weather_station_day(t: Inputs) -> DataFrame:
     return t.weather

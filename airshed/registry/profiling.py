@@ -129,6 +129,11 @@ def iv_relevance(t: Inputs) -> DataFrame:
     return pf.instrument_relevance(t.days)
 
 
+@query()
+def iv_relevance_p(t: Inputs) -> DataFrame:
+    return pf.with_p_value(pf.instrument_relevance(t.days))
+
+
 PARTNERS = ["temp_2m", "wind_speed", "boundary_layer_height"]
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 # Level in `<pollutant>_<level>.parquet`, a single file or a folder of part files.
 LEVEL_IN_PATH = r"_([^_/]+)\.parquet(?:/|$)"
@@ -17,9 +18,17 @@ def with_level(df: DataFrame) -> DataFrame:
     )
 
 
-def load_readings(spark: SparkSession, folder: str) -> DataFrame:
-    """Every reading below a folder, in one scan; columns missing in some files are null."""
-    reader = spark.read.option("mergeSchema", True)
+def load_readings(spark: SparkSession, folder: str,
+                  schema: T.StructType | None = None) -> DataFrame:
+    """Every reading below a folder, in one scan; columns missing in some files are null.
+
+    Without a schema the footers of all files are read first to merge theirs; with
+    very many files, give one.
+    """
+    if schema is None:
+        reader = spark.read.option("mergeSchema", True)
+    else:
+        reader = spark.read.schema(schema)
     return with_level(reader.parquet(f"{folder}/*.parquet"))
 
 
