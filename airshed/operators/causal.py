@@ -26,7 +26,15 @@ def treated_weeks(runs: DataFrame) -> DataFrame:
 def panel(days: DataFrame, weekly: DataFrame, population: DataFrame,
           limit: float = fv.EU_DAILY_LIMIT, min_days: int = 3) -> DataFrame:
     """One row per region and ISO week: exposure, weather, treatment, outcome rate."""
-    totals = summary.region_day_totals(days)
+    return panel_of_totals(summary.region_day_totals(days), weekly, population, limit, min_days)
+
+
+def panel_of_totals(totals: DataFrame, weekly: DataFrame, population: DataFrame,
+                    limit: float = fv.EU_DAILY_LIMIT, min_days: int = 3) -> DataFrame:
+    """The panel from region-day totals.
+
+    Several panels, or a panel and its baselines, can share one kept table of totals.
+    """
     exposure = summary.weekly_means(totals)
     exposure = exposure.withColumn("monday", fx.iso_monday(F.col("iso_year"), F.col("iso_week")))
     runs = summary.episodes(summary.daily_means(totals), limit, min_days)

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 from airshed import fixed_values as fv
 from airshed.functions import columns as fx
 
-CHECK_FIELDS = "check_name string, passed boolean, observed double, threshold double, critical boolean"
-
 
 def check(name: str, condition: Column, observed: Column, threshold: float,
           critical: bool = False) -> Column:
@@ -27,63 +25,42 @@ def _rows(aggregated: DataFrame, checks: list[Column]) -> DataFrame:
     return aggregated.select(F.inline(F.array(*checks)))
 
 
-def key_and_null_checks(df: DataFrame, min_rows: int = 500_000) -> DataFrame:
-    """Row count, missing keys and targets, PM2.5 and weather coverage: one pass."""
-    needed = ["station_id", "date", "country_code", "pm25_exceedance_t1", "pm25_exceedance_t2"]
-    n = F.col("n")
-    found = df.agg(
-        F.count("*").alias("n"),
-        *[F.count(c).alias(c) for c in [*needed, "pm25_mean", "temp_2m"]],
-        *[F.count_if(~F.col(t).isin(0, 1)).alias(f"odd_{t}") for t in needed[3:]],
-        (F.avg("pm25_exceedance_t1") * 100).alias("rate_t1"),
-        (F.avg("pm25_exceedance_t2") * 100).alias("rate_t2"),
-    )
-    pm25_null = fx.ratio(n - F.col("pm25_mean"), n) * 100
-    weather = fx.ratio(F.col("temp_2m"), n) * 100
-    rates = F.abs(F.col("rate_t1") - F.col("rate_t2"))
-    checks = [check("enough_rows", n > min_rows, n, min_rows)]
-    checks += [
-        check(f"no_null_{c}", n - F.col(c) == 0, n - F.col(c), 0, critical=True) for c in needed
-    ]
-    checks += [
-        check("pm25_null_rate_below_30", pm25_null < 30, pm25_null, 30),
-        check("weather_hit_rate_above_90", weather > 90, weather, 90),
-        *[check(f"binary_{t}", F.col(f"odd_{t}") == 0, F.col(f"odd_{t}"), 0) for t in needed[3:]],
-        check("target_rates_differ", rates > 0.01, rates, 0.01),
-    ]
-    return _rows(found, checks)
-
-
-def duplicate_check(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of their (station, date)."""
-    copies = df.groupBy("station_id", "date").agg(F.count("*").alias("copies"))
-    surplus = F.coalesce(F.col("surplus"), F.lit(0))
-    found = copies.agg(F.sum(F.col("copies") - 1).alias("surplus"))
-    return _rows(found, [check("no_duplicate_keys", surplus == 0, surplus, 0, critical=True)])
+KEY_COLUMNS = ["station_id", "date", "country_code"]
+TARGETS = ["pm25_exceedance_t1", "pm25_exceedance_t2"]
 
 
 def series_rows(df: DataFrame) -> DataFrame:
-    """One row per station-day with its neighbours in time.
+    """One row per station-day with its neighbours in time, from one pass over the table.
 
     Copies of a key are merged before the windows, so however many copies there
-    are, a station's window holds one row per day.
+    are, a station's window holds one row per day.  What has to be counted per row
+    of the table (copies, missing values) is carried along as sums.  Rows with a
+    missing key stay in the counts but have no neighbours.
     """
-    measures = ["pm25_mean", "pm25_exceedance_t1", "boundary_layer_height", "pm25_mean_rolling7d",
+    measures = ["pm25_mean", TARGETS[0], "boundary_layer_height", "pm25_mean_rolling7d",
                 *[f"pm25_mean_lag{n}" for n in fv.LAG_DAYS],
                 *[f"boundary_layer_height_lag{n}" for n in fv.LAG_DAYS]]
-    days = (
-        df.filter(F.col("station_id").isNotNull() & F.col("date").isNotNull())
-        .groupBy("station_id", "date")
-        .agg(*[F.max(c).alias(c) for c in measures if c in df.columns])
+    counted = [c for c in [*KEY_COLUMNS, *TARGETS, "pm25_mean", "temp_2m"] if c in df.columns]
+    targets = [c for c in TARGETS if c in df.columns]
+    days = df.groupBy("station_id", "date").agg(
+        F.count("*").alias("copies"),
+        *[F.count(c).alias(f"n_{c}") for c in counted],
+        *[F.count_if(~F.col(c).isin(0, 1)).alias(f"odd_{c}") for c in targets],
+        *[F.sum(c).alias(f"sum_{c}") for c in targets],
+        *[F.max(c).alias(c) for c in measures if c in df.columns],
     )
     w = Window.partitionBy("station_id").orderBy("date")
-    return days.select(
-        "*",
-        F.lag("date").over(w).alias("previous_date"),
-        F.lag("pm25_mean").over(w).alias("pm25_yesterday"),
-        F.lead("pm25_mean").over(w).alias("pm25_tomorrow"),
-        F.max("pm25_mean").over(w.rowsBetween(-7, -1)).alias("pm25_past_max"),
-    ).withColumn("gap_days", F.datediff("date", "previous_date"))
+    known = F.col("station_id").isNotNull() & F.col("date").isNotNull()
+    neighbours = {
+        "previous_date": F.lag("date").over(w),
+        "pm25_yesterday": F.lag("pm25_mean").over(w),
+        "pm25_tomorrow": F.lead("pm25_mean").over(w),
+        "pm25_past_max": F.max("pm25_mean").over(w.rowsBetween(-7, -1)),
+    }
+    rows = days.select("*", known.alias("known"), *[
+        F.when(known, c).alias(name) for name, c in neighbours.items()
+    ])
+    return rows.withColumn("gap_days", F.datediff("date", "previous_date"))
 
 
 def lag_errors() -> Column:
@@ -106,7 +83,7 @@ def bound_errors() -> Column:
 def temporal_gaps(df: DataFrame, long_gap: int = 30) -> DataFrame:
     """Per station: gaps between consecutive dates, long ones, and the longest (shown <= 60)."""
     gap = F.col("gap_days")
-    return series_rows(df).groupBy("station_id").agg(
+    return series_rows(df).filter("known").groupBy("station_id").agg(
         F.count("*").alias("n_days"),
         F.count_if(gap > 1).alias("n_gaps"),
         F.count_if(gap > long_gap).alias("n_long_gaps"),
@@ -114,18 +91,29 @@ def temporal_gaps(df: DataFrame, long_gap: int = 30) -> DataFrame:
     )
 
 
-def series_checks(df: DataFrame, limit: float = fv.EU_DAILY_LIMIT,
-                  min_pairs: int = 1000) -> DataFrame:
-    """Leakage, target and continuity checks over every station, in one window stage."""
-    rows = series_rows(df)
+def store_checks(df: DataFrame, min_rows: int = 500_000, limit: float = fv.EU_DAILY_LIMIT,
+                 min_pairs: int = 1000) -> DataFrame:
+    """Keys, missing values, leakage, targets and continuity, on every row of the store.
+
+    The table is read once; one shuffle brings copies of a key together and one
+    brings the days of a station together.
+    """
     by_station = Window.partitionBy("station_id")
     gap = F.col("gap_days")
-    rows = rows.withColumn("station_has_gap", F.max(fx.flag(gap > 1)).over(by_station))
+    rows = series_rows(df).withColumn(
+        "station_has_gap", F.max(fx.flag(gap > 1)).over(by_station)
+    )
     lag_pairs = [(s, f"{s}_lag{n}") for s in ("pm25_mean", "boundary_layer_height")
                  for n in fv.LAG_DAYS if f"{s}_lag{n}" in df.columns]
-    first = F.col("previous_date").isNull()
-    positive = (F.col("pm25_exceedance_t1") == 1) & F.col("pm25_tomorrow").isNotNull()
+    first = F.col("known") & F.col("previous_date").isNull()
+    positive = (F.col(TARGETS[0]) == 1) & F.col("pm25_tomorrow").isNotNull()
+    needed = [*KEY_COLUMNS, *TARGETS]
     found = rows.agg(
+        F.sum("copies").alias("n"),
+        F.sum(F.col("copies") - 1).alias("surplus"),
+        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in [*needed, "pm25_mean", "temp_2m"]],
+        *[F.sum(f"odd_{c}").alias(f"odd_{c}") for c in TARGETS],
+        *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in TARGETS],
         F.count_if(lag_errors()).alias("lag_errors"),
         fx.correlation(F.col("pm25_mean"), F.col("pm25_mean_rolling7d")).alias("r_rolling"),
         F.count_if(target_errors(limit)).alias("target_errors"),
@@ -137,22 +125,37 @@ def series_checks(df: DataFrame, limit: float = fv.EU_DAILY_LIMIT,
         F.count_if(gap > 1).alias("gaps"),
         F.count_if(gap > 30).alias("long_gaps"),
         *[fx.correlation(F.col(a), F.col(b)).alias(f"r_{b}") for a, b in lag_pairs],
-        *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n_{b}")
+        *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"pairs_{b}")
           for a, b in lag_pairs],
     )
-    known = [F.when(F.col(f"n_{b}") >= min_pairs, F.col(f"r_{b}")) for _, b in lag_pairs]
+    n = F.col("n")
+    rate = [fx.ratio(F.col(f"sum_{c}"), F.col(f"n_{c}")) * 100 for c in TARGETS]
+    apart = F.abs(rate[0] - rate[1])
+    pm25_null = fx.ratio(n - F.col("n_pm25_mean"), n) * 100
+    weather = fx.ratio(F.col("n_temp_2m"), n) * 100
+    known = [F.when(F.col(f"pairs_{b}") >= min_pairs, F.col(f"r_{b}")) for _, b in lag_pairs]
     highest = F.greatest(*known, F.lit(None).cast("double")) if known else F.lit(None)
     right = fx.ratio(F.col("right_positives"), F.col("positives")) * 100
     gap_share = fx.ratio(F.col("gap_stations"), F.col("stations")) * 100
     long_share = F.coalesce(fx.ratio(F.col("long_gaps"), F.col("gaps")) * 100, F.lit(0.0))
+
+    def none(name: str, count: Column, critical: bool = False) -> Column:
+        return check(name, count == 0, count, 0, critical)
+
     return _rows(found, [
-        check("lags_look_back", F.col("lag_errors") == 0, F.col("lag_errors"), 0, critical=True),
+        check("enough_rows", n > min_rows, n, min_rows),
+        *[none(f"no_null_{c}", n - F.col(f"n_{c}"), critical=True) for c in needed],
+        check("pm25_null_rate_below_30", pm25_null < 30, pm25_null, 30),
+        check("weather_hit_rate_above_90", weather > 90, weather, 90),
+        *[none(f"binary_{c}", F.col(f"odd_{c}")) for c in TARGETS],
+        check("target_rates_differ", apart > 0.01, apart, 0.01),
+        none("no_duplicate_keys", F.col("surplus"), critical=True),
+        none("lags_look_back", F.col("lag_errors"), critical=True),
         check("rolling_excludes_today", F.col("r_rolling") < 0.99, F.col("r_rolling"), 0.99),
-        check("target_looks_forward", F.col("target_errors") == 0, F.col("target_errors"), 0,
-              critical=True),
+        none("target_looks_forward", F.col("target_errors"), critical=True),
         check("positive_targets_exceed", right > 99, right, 99, critical=True),
         check("lag_correlations_below_99", F.coalesce(highest < 0.99, F.lit(True)), highest, 0.99),
-        check("rolling_mean_within_bound", F.col("bound_errors") == 0, F.col("bound_errors"), 0),
+        none("rolling_mean_within_bound", F.col("bound_errors")),
         check("stations_with_gaps_below_20", gap_share < 20, gap_share, 20),
         check("long_gaps_below_5", long_share < 5, long_share, 5),
     ])
@@ -176,9 +179,7 @@ def model_checks(metrics: DataFrame, importance: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, min_rows: int = 500_000,
                    model: DataFrame | None = None) -> DataFrame:
     """All checks of a feature store; pass model checks to have them included."""
-    report = key_and_null_checks(df, min_rows).unionByName(duplicate_check(df)).unionByName(
-        series_checks(df)
-    )
+    report = store_checks(df, min_rows)
     return report if model is None else report.unionByName(model)
 
 

@@ -8,6 +8,7 @@ from airshed.operators import causal as cs, features as fe, metrics as mt, model
 from airshed.operators import summary as sm
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
+from airshed.session import cut_lineage
 
 PANEL = """nuts3_code, monday, iso_year, iso_week, country_code, pm25_mean, temp_2m, wind_speed,
   precipitation, boundary_layer_height, station_days, treated, deaths, population, rate_per_100k"""
@@ -50,7 +51,9 @@ BASE = """select p.*, b.baseline from panel_high p join (
     and c.monday = a.monday and c.baseline between a.baseline*0.8 and a.baseline*1.2
   group by 1,2,3,4,5""", "baseline rate_per_100k control_rate difference")
 def match_controls(t: Inputs) -> DataFrame:
-    return cs.match_controls(_panel(t, LIMIT), cs.baselines(sm.region_days(t.days)))
+    totals = cut_lineage(sm.region_day_totals(t.days))
+    rows = cs.panel_of_totals(totals, t.weekly, t.population, LIMIT)
+    return cs.match_controls(rows, cs.baselines(sm.daily_means(totals)))
 
 
 @query("""select *, (treated_post - treated_pre) - (control_post - control_pre) as did from (
