@@ -56,6 +56,8 @@ def series_rows(df: DataFrame) -> DataFrame:
         "pm25_yesterday": F.lag("pm25_mean").over(w),
         "pm25_tomorrow": F.lead("pm25_mean").over(w),
         "pm25_past_max": F.max("pm25_mean").over(w.rowsBetween(-7, -1)),
+        "next_date": F.lead("date").over(w),
+        "date_six_back": F.lag("date", 6).over(w),
     }
     rows = days.select("*", known.alias("known"), *[
         F.when(known, c).alias(name) for name, c in neighbours.items()
@@ -63,21 +65,33 @@ def series_rows(df: DataFrame) -> DataFrame:
     return rows.withColumn("gap_days", F.datediff("date", "previous_date"))
 
 
-def lag_errors() -> Column:
+def _days_apart(later: str, earlier: str, days: int, filtered: bool) -> Column:
+    """In a store without the rows that lack targets, only rows of consecutive days are
+    sure to have been neighbours when the features were made."""
+    apart = F.datediff(later, earlier)
+    return F.coalesce(apart == days, F.lit(False)) if filtered else F.lit(True)
+
+
+def lag_errors(filtered: bool = True) -> Column:
     """lag1 must be the previous row's value; a first row has nothing to compare."""
-    later = F.col("previous_date").isNotNull()
+    later = F.col("previous_date").isNotNull() & _days_apart("date", "previous_date", 1, filtered)
     return later & ~fx.near(F.col("pm25_mean_lag1"), F.col("pm25_yesterday"))
 
 
-def target_errors(limit: float = fv.EU_DAILY_LIMIT) -> Column:
+def tomorrow_known(filtered: bool = True) -> Column:
+    return F.col("pm25_tomorrow").isNotNull() & _days_apart("next_date", "date", 1, filtered)
+
+
+def target_errors(limit: float = fv.EU_DAILY_LIMIT, filtered: bool = True) -> Column:
     """Target against tomorrow's value, where tomorrow has one."""
-    known = F.col("pm25_tomorrow").isNotNull() & F.col("pm25_exceedance_t1").isNotNull()
+    known = tomorrow_known(filtered) & F.col("pm25_exceedance_t1").isNotNull()
     return known & (fx.exceeds(F.col("pm25_tomorrow"), limit) != F.col("pm25_exceedance_t1"))
 
 
-def bound_errors() -> Column:
+def bound_errors(filtered: bool = True) -> Column:
     """A mean of past values cannot exceed their maximum."""
-    return F.col("pm25_mean_rolling7d") > F.col("pm25_past_max") + 1e-6
+    above = F.col("pm25_mean_rolling7d") > F.col("pm25_past_max") + 1e-6
+    return above & _days_apart("date", "date_six_back", 6, filtered)
 
 
 def temporal_gaps(df: DataFrame, long_gap: int = 30) -> DataFrame:
@@ -92,9 +106,12 @@ def temporal_gaps(df: DataFrame, long_gap: int = 30) -> DataFrame:
 
 
 def store_checks(df: DataFrame, min_rows: int = 500_000, limit: float = fv.EU_DAILY_LIMIT,
-                 min_pairs: int = 1000) -> DataFrame:
+                 min_pairs: int = 1000, filtered: bool = True) -> DataFrame:
     """Keys, missing values, leakage, targets and continuity, on every row of the store.
 
+    ``filtered`` says that rows lacking a target were dropped (strict targets);
+    neighbours are then compared only across consecutive days.
+
     The table is read once; one shuffle brings copies of a key together and one
     brings the days of a station together.
     """
@@ -106,7 +123,7 @@ def store_checks(df: DataFrame, min_rows: int = 500_000, limit: float = fv.EU_DA
     lag_pairs = [(s, f"{s}_lag{n}") for s in ("pm25_mean", "boundary_layer_height")
                  for n in fv.LAG_DAYS if f"{s}_lag{n}" in df.columns]
     first = F.col("known") & F.col("previous_date").isNull()
-    positive = (F.col(TARGETS[0]) == 1) & F.col("pm25_tomorrow").isNotNull()
+    positive = (F.col(TARGETS[0]) == 1) & tomorrow_known(filtered)
     needed = [*KEY_COLUMNS, *TARGETS]
     found = rows.agg(
         F.sum("copies").alias("n"),
@@ -114,12 +131,12 @@ def store_checks(df: DataFrame, min_rows: int = 500_000, limit: float = fv.EU_DA
         *[F.sum(f"n_{c}").alias(f"n_{c}") for c in [*needed, "pm25_mean", "temp_2m"]],
         *[F.sum(f"odd_{c}").alias(f"odd_{c}") for c in TARGETS],
         *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in TARGETS],
-        F.count_if(lag_errors()).alias("lag_errors"),
+        F.count_if(lag_errors(filtered)).alias("lag_errors"),
         fx.correlation(F.col("pm25_mean"), F.col("pm25_mean_rolling7d")).alias("r_rolling"),
-        F.count_if(target_errors(limit)).alias("target_errors"),
+        F.count_if(target_errors(limit, filtered)).alias("target_errors"),
         F.count_if(positive).alias("positives"),
         F.count_if(positive & (F.col("pm25_tomorrow") > limit)).alias("right_positives"),
-        F.count_if(bound_errors()).alias("bound_errors"),
+        F.count_if(bound_errors(filtered)).alias("bound_errors"),
         F.count_if(first).alias("stations"),
         F.count_if(first & (F.col("station_has_gap") == 1)).alias("gap_stations"),
         F.count_if(gap > 1).alias("gaps"),
@@ -176,10 +193,10 @@ def model_checks(metrics: DataFrame, importance: DataFrame) -> DataFrame:
     ]))
 
 
-def quality_report(df: DataFrame, min_rows: int = 500_000,
-                   model: DataFrame | None = None) -> DataFrame:
+def quality_report(df: DataFrame, min_rows: int = 500_000, model: DataFrame | None = None,
+                   filtered: bool = True) -> DataFrame:
     """All checks of a feature store; pass model checks to have them included."""
-    report = store_checks(df, min_rows)
+    report = store_checks(df, min_rows, filtered=filtered)
     return report if model is None else report.unionByName(model)
 
 
