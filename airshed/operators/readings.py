@@ -54,7 +54,7 @@ def prepared(raw: DataFrame) -> DataFrame:
     return clip(valid_only(with_country(with_calendar(standardise(raw)))))
 
 
-def _rank(levels: tuple[str, ...]) -> Column:
+def level_rank(levels: tuple[str, ...]) -> Column:
     """Position of the verification level; anything unlisted comes after the listed ones.
 
     A number rather than the text keeps the aggregation buffers fixed-width, so
@@ -74,15 +74,15 @@ def daily_mixed(df: DataFrame, levels: tuple[str, ...] = fv.VERIFICATION_LEVELS)
         F.avg("value").alias("value_mean"),
         F.max("value").alias("value_max"),
         F.count("value").alias("reading_count"),
-        F.min(_rank(levels)).alias("rank"),
+        F.min(level_rank(levels)).alias("rank"),
     )
-    return _labelled(daily, levels)
+    return with_level_name(daily, levels)
 
 
 def _by_level(df: DataFrame, levels: tuple[str, ...]) -> DataFrame:
     """One row per station, pollutant, day and level.  Partial sums are formed before
     the shuffle, so a station that holds most readings costs one row per task."""
-    return df.groupBy(*KEYS, _rank(levels).alias("rank")).agg(
+    return df.groupBy(*KEYS, level_rank(levels).alias("rank")).agg(
         F.avg("value").alias("value_mean"),
         F.max("value").alias("value_max"),
         F.count("value").alias("reading_count"),
@@ -97,10 +97,10 @@ def daily_verified_first(
     daily = _by_level(df, levels).groupBy(*KEYS).agg(
         *[F.min_by(c, "rank").alias(c) for c in measures], F.min("rank").alias("rank")
     )
-    return _labelled(daily, levels)
+    return with_level_name(daily, levels)
 
 
-def _labelled(daily: DataFrame, levels: tuple[str, ...]) -> DataFrame:
+def with_level_name(daily: DataFrame, levels: tuple[str, ...]) -> DataFrame:
     df = daily.withColumn("verification_level", _level(F.col("rank"), levels)).drop("rank")
     return calendar_of(with_country(df))
 

@@ -38,7 +38,7 @@ def ingest_new_files(stream: DataFrame, target: str, checkpoint: str) -> Streami
 
 def _partials(readings: DataFrame, levels: tuple[str, ...]) -> DataFrame:
     cleaned = rd.prepared(readings)
-    return cleaned.groupBy(*rd.KEYS, rd._rank(levels).alias("rank")).agg(
+    return cleaned.groupBy(*rd.KEYS, rd.level_rank(levels).alias("rank")).agg(
         F.sum("value").alias("total"), F.count("value").alias("n"), F.max("value").alias("top")
     )
 
@@ -76,7 +76,7 @@ def current_daily(spark: SparkSession, target: str,
         F.min_by("n", "rank").alias("reading_count"),
         F.min("rank").alias("rank"),
     )
-    return rd._labelled(best, levels)
+    return rd.with_level_name(best, levels)
 
 
 def windowed_means(stream: DataFrame, lateness: str = "3 days") -> DataFrame:

@@ -80,3 +80,27 @@ def test_crop_reaches_the_scan(spark, tmp_path):
     cube(spark, SQUARE).write.parquet(path)
     plan = gr.crop(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(latitude,34.0)" in plan
+
+
+def test_many_stations_on_one_node_match_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    nodes = [(45 + 0.25 * i, 2 + 0.25 * j, float(rng.integers(0, 100)))
+             for i in range(4) for j in range(4)]
+    value = {(round(y / 0.25), round(x / 0.25)): v for y, x, v in nodes}
+    places = [(f"S{i}", 45.25, 2.25) for i in range(100)]
+    places += [(f"T{i}", 45 + 0.74 * rng.random(), 2 + 0.74 * rng.random()) for i in range(200)]
+    places = [(s, float(y), float(x)) for s, y, x in places]
+    stations = spark.createDataFrame(places, "station_id string, latitude double, longitude double")
+    daily = gr.daily_grid(cube(spark, nodes))
+    for salts in (1, 8):
+        found = {r.station_id: r.t2m for r in
+                 gr.interpolate(daily, stations, salts=salts).collect()}
+        assert len(found) == 300
+        for s, y, x in places:
+            a, b = y / 0.25, x / 0.25
+            i, j = int(np.floor(a)), int(np.floor(b))
+            total = sum((1 - abs(a - p)) * (1 - abs(b - q)) * value[(p, q)]
+                        for p in (i, i + 1) for q in (j, j + 1) if (p, q) in value)
+            assert found[s] == pytest.approx(total + 0.5, abs=1e-6)

@@ -84,3 +84,21 @@ def test_two_shuffles_from_raw_to_wide(spark):
     plan = rd.station_days(raw(spark, [row()]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "SortAggregate" not in plan
+
+
+def test_hot_station_in_many_partitions(spark):
+    """A station with a third of the readings gives the same result as pandas."""
+    rows = [row(station="FRHOT" if i % 3 == 0 else f"FR{i % 40:03d}", value=str(i % 97),
+                start=f"2024-01-{1 + i % 28:02d}T00:00:00", level=("E1a", "E2a")[i % 2])
+            for i in range(6000)]
+    daily = rd.daily_verified_first(rd.prepared(raw(spark, rows).repartition(16))).toPandas()
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=["station", "p", "start", "value", "v", "level"])
+    frame["value"] = frame["value"].astype(float)
+    frame["date"] = frame["start"].str[:10]
+    best = frame.groupby(["station", "date"])["level"].transform("min")
+    expected = frame[frame["level"] == best].groupby(["station", "date"])["value"].mean()
+    got = daily.assign(date=daily["date"].astype(str)).set_index(["station_id", "date"])
+    assert len(got) == len(expected)
+    assert (got["value_mean"].sort_index().values - expected.sort_index().values).max() < 1e-9
