@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from airshed import fixed_values as fv
 from airshed.functions import columns as fx
 from airshed.operators.ordered import quantiles, running_totals
+from airshed.session import cut_lineage
 
 FLOOR = 1e-4
 
@@ -24,28 +25,29 @@ def long_features(df: DataFrame, features: list[str]) -> DataFrame:
     )
 
 
-def baseline_edges(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
-    """Inner quantile edges of each feature over the baseline: the stored artefact."""
-    base = df.filter(~F.col("is_current")).select(*features)
-    long = base.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
-        [], features, "feature", "value"
-    )
+def baseline_edges(counts: DataFrame, bins: int = 10) -> DataFrame:
+    """Inner quantile edges of each feature over the baseline: the stored artefact.
+
+    Takes the counts of ``long_features``.
+    """
     points = {f"e{i}": i / bins for i in range(1, bins)}
-    found = quantiles(long, ["feature"], "value", points)
+    found = quantiles(counts, ["feature"], "value", points, F.col("n_base"))
     return found.select("feature", F.array(*points).alias("edges"))
 
 
 def psi_bins(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
     """Share of each period per feature and bin; bin k holds edge(k-1) < value <= edge(k)."""
+    # Edges and bins both come from the counts, so the table is read once.
+    counts = cut_lineage(long_features(df, features))
     # One row per feature name: bounded by the schema, so it may be broadcast.
-    edges = F.broadcast(baseline_edges(df, features, bins))
-    binned = long_features(df, features).join(edges, ["feature"])
+    edges = F.broadcast(baseline_edges(counts, bins))
+    binned = counts.join(edges, ["feature"])
     place = F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("bin")
-    counts = binned.groupBy("feature", place).agg(
+    grouped = binned.groupBy("feature", place).agg(
         F.sum("n_base").alias("n_base"), F.sum("n_current").alias("n_current")
     )
     by_feature = Window.partitionBy("feature")
-    return counts.select(
+    return grouped.select(
         "feature", "bin", "n_base", "n_current",
         fx.ratio(F.col("n_base"), F.sum("n_base").over(by_feature)).alias("share_base"),
         fx.ratio(F.col("n_current"), F.sum("n_current").over(by_feature)).alias("share_current"),

@@ -95,10 +95,13 @@ def running_totals(df: DataFrame, keys: list[str], value: str,
     )
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str,
-              points: dict[str, float]) -> DataFrame:
-    """Exact quantiles per group, linear between the two neighbouring order statistics."""
-    totals = running_totals(df, keys, value, {"n": F.lit(1)})
+def quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
+              count: Column | None = None) -> DataFrame:
+    """Exact quantiles per group, linear between the two neighbouring order statistics.
+
+    With ``count`` a row stands for that many equal values, possibly none.
+    """
+    totals = running_totals(df, keys, value, {"n": F.lit(1) if count is None else count})
     n, before = F.col("n_total"), F.col("n_before")
 
     def at(rank: Column) -> Column:
