@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,24 +30,37 @@ def build_session(name: str = "airshed", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else the folder that was
+    given to ``setCheckpointDir``.
 
-    Only where that is unset, as on one machine, a temporary folder is made
-    and kept for the application.
+    Only a session on one machine may have neither; it gets a temporary folder that
+    goes when the process ends.  On a cluster a missing folder is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _LOCAL_FOLDERS.get(app)
-        if folder is None:
-            folder = _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="airshed-")
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not _is_local(context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = _LOCAL_FOLDERS.get(context.applicationId)
+    if folder is None:
+        folder = _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="airshed-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; it is deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -54,3 +69,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once as Parquet in the shared folder and read again.
+
+    Like ``cut_lineage``, but later readers read only the columns they use.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
