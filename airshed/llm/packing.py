@@ -14,7 +14,9 @@ no shuffle, no group and no driver state, and a lost task is simply run again.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +27,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 SEPARATOR = 0
-#: A space between two characters that are not white space: byte-level pre-tokenizers
-#: never join across it, so the parts are encoded one by one and remembered.
+#: Byte-level pre-tokenizers never join across a space between two characters that are
+#: not white space, so the parts are encoded one by one and remembered.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-REMEMBERED = 400_000
+#: Latin letters, ASCII digits and signs: in a text of these alone the pre-tokens of the
+#: byte-level pattern can be told apart by a simple expression.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+PLAIN = re.compile(rf"[{LATIN}0-9 \n!-&(-/:-@\[-`{{-~]*")
+PRE_TOKEN = re.compile(rf" ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
+REMEMBERED = 800_000
+#: Characters encoded together.
+TOGETHER = 2_000_000
 POOL = 512
 SMALLEST_CUT = 8
 
@@ -46,6 +55,8 @@ class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes, with a bounded memory of words."""
 
     def __init__(self, path: str | None):
+        # Spark runs a worker per core; threads of the library would only compete.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if path is None:
@@ -54,26 +65,34 @@ class Encoder:
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Other kinds of tokenizers get whole texts.
+        self.by_parts = "ByteLevel" in repr(self.tokenizer.pre_tokenizer)
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._encode([text])[0]
-        words = CUT.split(text)
-        # The space belongs to the word behind it.
-        words[1:] = [f" {w}" for w in words[1:]]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
+
+    def _parts(self, text: str) -> list[str]:
+        if not self.by_parts or any(s in text for s in self.special):
+            return [text]
+        if PLAIN.fullmatch(text):
+            return PRE_TOKEN.findall(text)
+        parts = CUT.split(text)
+        parts[1:] = [f" {p}" for p in parts[1:]]
+        return parts
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts = [self._parts(t) for t in texts]
         known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._encode(new)))
-        return b"".join([known[w] for w in words])
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = list(set().union(*parts) - known.keys())
+        known.update(zip(new, self._encode(new)))
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for word in [w for w in new if len(w) > 100]:
+            del known[word]
+        return out
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -195,18 +214,23 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", prompt: str |
                 data["ids"] = pd.Series(cells[8], dtype=object)
             return pd.DataFrame(data)
 
-        for batch in batches:
-            keys = batch["c0"].astype(object).where(batch["c0"].notna(), None)
-            prompts = batch["c2"] if prompt else [None] * len(batch)
-            for k, t, q in zip(keys, batch["c1"], prompts):
-                before = code(q) if q else b""
-                ids = before + (code(t) if t else b"") + end
+        def parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            """Rows whose texts are short enough together; a long text is a part alone."""
+            sizes = batch["c1"].str.len().fillna(0).to_numpy(dtype=np.int64)
+            groups = (np.cumsum(sizes) - sizes) // TOGETHER
+            for _, part in batch.groupby(groups, sort=True):
+                yield part
+
+        for part in (p for batch in batches for p in parts(batch)):
+            keys = part["c0"].astype(object).where(part["c0"].notna(), None)
+            texts = code([t or "" for t in part["c1"]])
+            before = code([q or "" for q in part["c2"]]) if prompt else [b""] * len(part)
+            for k, t, q in zip(keys, texts, before):
+                ids = q + t + end
                 loss = np.ones(len(ids) // 4, dtype=np.uint8)
-                loss[:len(before) // 4] = 0
+                loss[:len(q) // 4] = 0
                 loss[-1] = 0
                 packer.add(k, ids, loss)
-                if len(packer.out) >= 20_000:
-                    yield rows_out()
             yield rows_out()
         packer.pack()
         yield rows_out()
