@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from airshed.session import kept
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BLOCK = 32
@@ -112,6 +114,8 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         docs[key].alias("key"), docs[source].alias("source"),
         F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
+    # Texts are read once; what follows needs ids and sizes only.
+    rows = kept(rows, "sizes")
     by_source = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     shards = F.ceil(F.greatest(F.col("source_size") / SHARD_WORDS, F.col("_docs") / SHARD_DOCUMENTS))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.llm import fingerprints, lines, mixing, packing
+from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,16 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, folder, "documents"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.classify(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -31,6 +41,11 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op4_mixing, op6_lines, op7_packing)}
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.link_documents(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op6_lines, op7_packing, op10_minhash)}
 
 ORACLES: dict[str, str] = {}
