@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,7 @@ SETTINGS = {
 }
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(name: str = "airshed", **extra: str) -> SparkSession:
@@ -63,6 +66,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions that
+    run there can import it wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    folder = tempfile.mkdtemp(prefix="airshed-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(package)
+    archive = os.path.join(folder, f"{name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, files in sorted(os.walk(package)):
+            for file in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(place, file)
+                out.write(path, os.path.join(name, os.path.relpath(path, package)))
+    context.addPyFile(archive)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives the loss of executors."""
     context = df.sparkSession.sparkContext
