@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from airshed.session import kept
+
 #: Sites from which on a line is boilerplate.
 MIN_SITES = 10
 #: Registers are 2 ** LG_K; an estimate is off by more than BAND (five standard errors)
@@ -60,8 +62,9 @@ def boilerplate(rows: DataFrame, sketches: DataFrame, min_sites: int = MIN_SITES
     """Rows (line, first_doc) of the lines on at least ``min_sites`` sites."""
     estimate = F.hll_sketch_estimate("sketch")
     low, high = min_sites * (1 - BAND) - 1, min_sites * (1 + BAND) + 1
-    rated = sketches.select("line", "first_doc", estimate.alias("sites")).filter(
-        F.col("sites") >= low)
+    # Kept, so that the joins below shuffle for themselves and hot lines can be split.
+    rated = kept(sketches.select("line", "first_doc", estimate.alias("sites")).filter(
+        F.col("sites") >= low), "line-sites")
     near = rated.filter(F.col("sites") <= high)
     exact = (
         rows.join(near.select("line"), "line", "left_semi")
@@ -87,7 +90,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str =
     what leaves one leaves all.  An empty table gives no rows.
     """
     rows = occurrences(docs, key, text, site)
-    lines = boilerplate(rows, line_sketches(rows), min_sites)
+    lines = kept(boilerplate(rows, line_sketches(rows), min_sites), "boilerplate")
     hits = (
         rows.join(lines, "line").filter(F.col("doc") != F.col("first_doc"))
         .groupBy("doc").agg(F.collect_set("line").alias("_gone"))

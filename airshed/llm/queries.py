@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, toxicity
+from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, repeats, toxicity
+from airshed.session import ship_package
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,11 +44,26 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.link_documents(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (
-    op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op6_lines, op7_packing, op10_minhash)}
+def _shipped(query):
+    """The query, with the package sent to the executors first."""
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
+QUERIES = {f.__name__: _shipped(f) for f in (
+    op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op6_lines, op7_packing, op8_repeats,
+    op10_minhash)}
 
 ORACLES: dict[str, str] = {}

@@ -37,8 +37,9 @@ class WordHashes(dict):
         Long texts are split in pieces, so that their words are never held all at once.
         """
         data = text.encode("utf-8", "replace")
-        if lower:
-            data = data.translate(LOWER)
+        return self.of_bytes(data.translate(LOWER) if lower else data)
+
+    def of_bytes(self, data: bytes) -> np.ndarray:
         if len(data) <= PIECE:
             words = data.split()
             return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
