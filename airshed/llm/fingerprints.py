@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from airshed.session import kept
+
 K = 128
 SHINGLE = 5
 BITS = 48
@@ -89,9 +91,9 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), BITS // 4, "0")), "")
 
 
-#: Digits of an id: neighbours are found within groups of 256 ids, then among the groups'
+#: Digits of an id: neighbours are found within groups of 1,024 ids, then among the groups'
 #: first ids, and so on; the last level has at most 2 ** 16 rows.
-LEVELS = (8, 20, 32, 48)
+LEVELS = (10, 20, 32, 48)
 
 
 def next_ids(ids: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFrame:
@@ -122,47 +124,44 @@ def compare_edited(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     Rows with a null key have no place in the order and an empty next document.  An
     empty table gives no rows.
 
-    Texts are shuffled once, by groups of 256 neighbouring ids; the next document is then
-    the next row.  Only the first document of a group is sent to the group before it.
+    Texts are shuffled once, by groups of 1,024 neighbouring ids; the next document is then
+    the next row.  The first document of a group is sent to the group before it as well:
+    which ones these are is known from the ids alone.
     """
     rows = docs.select(docs[key].cast("long").alias("id"),
                        F.coalesce(docs[text], F.lit("")).alias("text"))
-    rows = with_fingerprint(rows, "text", "fp", k)
     group = F.shiftright("id", LEVELS[0])
+    heads = rows.filter("id is not null").groupBy(group.alias("_g")).agg(F.min("id").alias("id"))
+    order = next_ids(heads.select("id"), LEVELS[1:])
+    # One row per group; kept, so that Spark knows its size when it plans the join.
+    order = kept(order.select(F.col("next").alias("id"), group.alias("_g")), "neighbours")
     # Rows without a key are dealt out by their text.
-    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(0)
-    rows = rows.withColumn("_g", group).withColumn("_s", spread)
-    by_group = Window.partitionBy("_g", "_s").orderBy("id", "text")
-    packed = F.lead(F.struct("id", "text", "fp")).over(by_group)
-    placed = rows.withColumn("_n", packed).withColumn("_r", F.row_number().over(by_group))
+    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    own = rows.select("id", "text", group.alias("_g"), spread.alias("_s"), F.lit(False).alias("_more"))
+    after = rows.join(order, "id").select(
+        "id", "text", "_g", F.lit(0).cast("bigint").alias("_s"), F.lit(True).alias("_more"))
+    rows = own.unionByName(after)
+
+    by_group = Window.partitionBy("_g", "_s").orderBy("_more", "id", "text")
+    rows = rows.withColumn("_n", F.lead(F.struct("id", "text", "_more")).over(by_group))
     # Of rows that share a key the last one has the next larger key behind it.
-    same = Window.partitionBy("_g", "_s", "id")
-    larger = F.when(F.col("_n")["id"] > F.col("id"), F.col("_n"))
-    placed = placed.withColumn("_n", F.first(larger, ignorenulls=True).over(same))
-
-    heads = placed.filter((F.col("_r") == 1) & F.col("id").isNotNull()).select("_g", "id", "text", "fp")
-    order = next_ids(heads.select("id"), LEVELS[1:])
-    after = order.join(heads.select(F.col("id").alias("next"), "text", "fp"), "next")
-    after = after.select(group.alias("_g"), F.lit(0).cast("bigint").alias("_s"),
-                         F.struct(F.col("next").alias("id"), "text", "fp").alias("_h"))
-    joined = placed.drop("_r").withColumn("_s", F.col("_s").cast("bigint")).join(
-        after, ["_g", "_s"], "left")
-    found = F.coalesce("_n", "_h")
-    rows = joined.select(
-        "id", "text", "fp", F.char_length("text").alias("n_chars"),
-        F.coalesce(found["text"], F.lit("")).alias("_text"),
-        F.coalesce(found["fp"], F.array().cast("array<bigint>")).alias("_fp"))
+    same = Window.partitionBy("_g", "_s", "_more", "id")
+    larger = F.when(F.col("_n._more") | (F.col("_n.id") > F.col("id")), F.col("_n.text"))
+    rows = rows.withColumn("_text", F.first(larger, ignorenulls=True).over(same)).filter("not _more")
+    rows = rows.select("id", "text", F.char_length("text").alias("n_chars"),
+                       F.coalesce("_text", F.lit("")).alias("_text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("_edited", F.concat(
         F.col("text").substr(F.lit(1), F.col("n_chars") - half), F.col("_text").substr(F.lit(1), half)))
-    rows = with_fingerprint(rows, "_edited", "_efp", k)
+    rows = rows.withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
+    for column, out in (("text", "fp"), ("_edited", "_efp"), ("_text", "_nfp")):
+        rows = with_fingerprint(rows, column, out, k).drop(column)
+    own, edited, following = F.col("fp"), F.col("_efp"), F.col("_nfp")
     return rows.select(
-        F.col("id").alias(key), F.col("n_chars").cast("long").alias("n_chars"),
-        F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(F.col("fp")).alias("fingerprint"),
-        as_text(F.col("_efp")).alias("edited_fingerprint"),
-        resemblance(F.col("fp"), F.col("_efp"), k).alias("near_edited"),
-        resemblance(F.col("fp"), F.col("_fp"), k).alias("near_next"),
-        distinct_count(F.col("fp"), k).alias("distinct_shingles"),
-        containment(F.col("fp"), F.col("_efp"), k).alias("edited_containment"),
+        F.col("id").alias(key), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+        as_text(own).alias("fingerprint"), as_text(edited).alias("edited_fingerprint"),
+        resemblance(own, edited, k).alias("near_edited"),
+        resemblance(own, following, k).alias("near_next"),
+        distinct_count(own, k).alias("distinct_shingles"),
+        containment(own, edited, k).alias("edited_containment"),
     )

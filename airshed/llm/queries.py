@@ -6,7 +6,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, repeats, toxicity
+from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, repeats, toxicity, vectors
 from airshed.session import ship_package
 
 
@@ -33,6 +33,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.dedup(table(spark, folder, "documents"))
     return kept.select(
@@ -63,7 +67,7 @@ def _shipped(query):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
-    op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op6_lines, op7_packing, op8_repeats,
+    op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op5_vectors, op6_lines, op7_packing, op8_repeats,
     op10_minhash)}
 
 ORACLES: dict[str, str] = {}
