@@ -99,6 +99,17 @@ def probability(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ beta[:-1] + beta[-1], -30, 30)))
 
 
+def score_column(text: Column, scorer: Callable[[], Callable[[str], float]]) -> Column:
+    """The score of a text as a column, in Arrow batches; null counts as empty."""
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score = scorer()
+        for batch in batches:
+            yield pd.Series([score(t or "") for t in batch], dtype=np.float64)
+
+    return run(text)
+
+
 def score_rows(docs: DataFrame, scorer: Callable[[], Callable[[str], float]], held_out: Callable[[str], Column],
                key: str = "doc_id", text: str = "text", cut: float = 0.7) -> DataFrame:
     """Rows (key, held_out, score, predicted) from whole texts; null counts as empty."""

@@ -107,3 +107,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str =
         F.coalesce(F.forall(parts, _blank), F.lit(True)).alias("_blank_before"),
         F.when(changed, F.size(parts) - F.size(left)).otherwise(0).alias("_removed"),
     )
+
+
+def all_blank(text: Column) -> Column:
+    """Whether a text has no line but blank ones; null for a null text."""
+    return F.forall(split_lines(text), _blank)

@@ -100,11 +100,16 @@ def _draw(seed: int, column: str, start: int) -> Column:
     return F.conv(F.substring(F.md5(text), start, 8), 16, 10).cast("long")
 
 
+def row_mark(key: Column, text: Column) -> Column:
+    return F.xxhash64(key, text)
+
+
 def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
          weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, seed: int = 17
          ) -> DataFrame:
     """One row per input row: key, size, source_size, target, taken, and where its words
     lie: shard, first (position), shard_blocks, passes, rest (selected blocks), shift.
+    ``mark`` is a hash of key and text, to find the row again.
 
     A null text has size 0; null is a source of its own, placed last.  Rows with the same
     key are documents of their own (the same id keeps them in one shard).  A source
@@ -113,6 +118,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rows = docs.select(
         docs[key].alias("key"), docs[source].alias("source"),
         F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        row_mark(docs[key], docs[text]).alias("mark"),
     )
     # Texts are read once; what follows needs ids and sizes only.
     rows = kept(rows, "sizes")
@@ -165,7 +171,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     return rows.select(
         F.col("key").alias(key), "size", "source_size", "target",
         taken.cast("long").alias("taken"), "place", "shard", "first", "shard_blocks", "passes",
-        "rest", "shift")
+        "rest", "shift", "mark")
 
 
 def selected_words(text: Column, block: int = BLOCK) -> Column:
@@ -178,3 +184,40 @@ def selected_words(text: Column, block: int = BLOCK) -> Column:
         return (x * F.col("rest")) % blocks < F.col("rest")
 
     return F.array_join(F.filter(words, inside), " ")
+
+
+def apply(docs: DataFrame, seed: int = 17, key: str = "doc_id", text: str = "text", source: str = "source",
+          length: str | None = "n_chars", **how) -> DataFrame:
+    """The mix itself: rows and columns of ``docs``, each as often as the plan takes it.
+
+    A document comes once per whole pass over its shard, and once more, cut to the words of
+    selected blocks (joined by single spaces), if blocks of it are selected; ``length``, if
+    the table has it, is then the new number of characters.  Equal rows share what the plan
+    gives to them.  Texts are shuffled once, by the row's mark.
+    """
+    by_mark = Window.partitionBy("_mark")
+    goals = plan(docs, key, text, source, seed=seed, **how).select(
+        F.col("mark").alias("_mark"), "first", "shard_blocks", "passes", "rest", "shift", "size", "taken")
+    goals = goals.withColumn("_n", F.row_number().over(by_mark.orderBy("first")))
+    rows = docs.withColumn("_mark", row_mark(docs[key], docs[text]))
+    rows = rows.withColumn("_n", F.row_number().over(by_mark.orderBy(F.lit(1)))).alias("d")
+    # Positions, since the documents may have columns named like the plan's.
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    at = names[docs.columns.index(text)]
+    rows = rows.toDF(*names, "_mark", "_n").join(goals, ["_mark", "_n"])
+    part = F.when(F.col("taken") > F.col("passes") * F.col("size"), selected_words(F.col(at), how.get("block", BLOCK)))
+    rows = rows.withColumn("_part", part)
+    whole = F.array_repeat(F.struct(F.col(at).alias("t"), F.lit(False).alias("cut")), F.col("passes").cast("int"))
+    cut = F.when(F.col("_part").isNotNull(), F.array(F.struct(F.col("_part").alias("t"), F.lit(True).alias("cut"))))
+    rows = rows.withColumn("_texts", F.concat(whole, F.coalesce(cut, F.slice(whole, 1, 0))))
+    rows = rows.select(*names, F.explode("_texts").alias("_x"))
+
+    def column(name: str, c: str) -> Column:
+        if c == text:
+            return F.col("_x.t").alias(c)
+        if c == length:
+            kind = docs.schema[c].dataType
+            return F.when(F.col("_x.cut"), F.char_length("_x.t").cast(kind)).otherwise(F.col(name)).alias(c)
+        return F.col(name).alias(c)
+
+    return rows.select(*[column(n, c) for n, c in zip(names, docs.columns)])

@@ -6,7 +6,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.llm import fingerprints, lines, minhash, mixing, packing, quality, repeats, toxicity, vectors
+from airshed.llm import fingerprints, lines, minhash, mixing, packing, pii, quality, repeats, toxicity, vectors
 from airshed.session import ship_package
 
 
@@ -52,6 +52,12 @@ def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents")).drop("spans")
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    # A real run takes its key from a secret store.
+    docs = pii.pseudonymise(table(spark, folder, "documents"), key="pseudonyms-of-the-registered-query")
+    return docs.select("doc_id", F.col("_numbers").alias("n_numbers"), F.col("_dates").alias("n_dates"), "text")
+
+
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.link_documents(table(spark, folder, "documents"))
 
@@ -68,6 +74,6 @@ def _shipped(query):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op5_vectors, op6_lines, op7_packing, op8_repeats,
-    op10_minhash)}
+    op9_pii, op10_minhash)}
 
 ORACLES: dict[str, str] = {}

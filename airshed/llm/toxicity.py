@@ -175,3 +175,8 @@ def classify(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "te
     every score is low.  An empty table gives no rows.
     """
     return labelled.score_rows(docs, lambda: scorer(model), held_out, key, text)
+
+
+def keep_clean(docs: DataFrame, model: bytes, text: str = "text", cut: float = 0.7) -> DataFrame:
+    """The input rows and columns whose text scores below ``cut``; null texts stay."""
+    return docs.filter(labelled.score_column(docs[text], lambda: scorer(model)) < cut)
