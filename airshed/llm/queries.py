@@ -7,6 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airshed.llm import fingerprints, lines, minhash, mixing, packing, pii, quality, repeats, toxicity, vectors
+from airshed.llm.sql import ORACLES
 from airshed.session import ship_package
 
 
@@ -76,4 +77,4 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op5_vectors, op6_lines, op7_packing, op8_repeats,
     op9_pii, op10_minhash)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
