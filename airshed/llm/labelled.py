@@ -62,7 +62,8 @@ def fit_once(rows: DataFrame, fit: Callable[[list[tuple]], bytes], max_bytes: in
         yield pd.DataFrame({"model": [fit([(k, t, y, w) for (k, t), (y, w) in sorted(got.items())])]})
 
     one = rows.repartition(1).mapInPandas(run, "model binary")
-    return bytes(one.first()["model"])
+    found = one.first()
+    return bytes(found["model"]) if found else fit([])
 
 
 def copies_left_out(rows: list[tuple], shingle: int = 5) -> list[tuple]:

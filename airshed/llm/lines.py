@@ -93,11 +93,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str =
     lines = kept(boilerplate(rows, line_sketches(rows), min_sites), "boilerplate")
     hits = (
         rows.join(lines, "line").filter(F.col("doc") != F.col("first_doc"))
-        .groupBy("doc").agg(F.collect_set("line").alias("_gone"))
+        .groupBy("doc").agg(F.collect_set("line").alias("_boilerplate"))
     )
     joined = docs.join(hits, docs[key] == hits["doc"], "left")
     parts = split_lines(F.col(text))
-    gone = F.coalesce(F.col("_gone"), F.array().cast(hits.schema["_gone"].dataType))
+    gone = F.coalesce(F.col("_boilerplate"), F.array().cast(hits.schema["_boilerplate"].dataType))
     left = F.filter(parts, lambda line: _blank(line) | ~F.array_contains(gone, _key(line)))
     changed = F.size(gone) > 0
     return joined.select(

@@ -75,10 +75,11 @@ def sainte_lague(rows: DataFrame, share: str, seats: Column, order: str) -> Data
         .withColumn("_sum", F.sum(share).over(everything))
         .withColumn("_half", F.count(F.lit(1)).over(everything) / 2)
     )
+    part = F.try_divide(F.col(share), F.col("_sum"))
     sure = F.when(F.col("_seats") > F.col("_half") + 1, F.floor(
-        F.col(share) / F.col("_sum") * (F.col("_seats") - F.col("_half")) * (1 - 1e-9) + 0.5))
+        part * (F.col("_seats") - F.col("_half")) * (1 - 1e-9) + 0.5))
     rows = rows.withColumn("_base", F.coalesce(F.greatest(sure, F.lit(0)), F.lit(0)))
-    most = F.ceil(F.col(share) / F.col("_sum") * (F.col("_seats") + F.col("_half")) + 1)
+    most = F.ceil(part * (F.col("_seats") + F.col("_half")) + 1)
     rows = rows.withColumn("_most", F.greatest(F.coalesce(most, F.lit(0)), F.col("_base")))
     rows = rows.withColumn("_open", F.col("_seats") - F.sum("_base").over(everything))
     awards = (
@@ -138,7 +139,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.sum("size").alias("_size"), F.first("quota").alias("_quota"),
         F.first("source_size").alias("_of"))
     n = F.ceil(F.col("_size") / block)
-    share = F.floor(F.col("_quota") * F.col("_size") / F.col("_of") + 0.5)
+    share = F.floor(F.try_divide(F.col("_quota") * F.col("_size"), F.col("_of")) + 0.5)
     by_shard = by_shard.select(
         "place", "shard", n.alias("shard_blocks"),
         F.coalesce(F.least(share, most * n), F.lit(0)).cast("long").alias("shard_quota"))
