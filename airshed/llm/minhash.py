@@ -179,7 +179,7 @@ def check_stars(edges: DataFrame, texts: DataFrame) -> DataFrame:
     centres = parts.select(F.col("b").alias("centre"),
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                            F.col("b").alias("doc"))
-    tasks = members.unionByName(centres).join(texts, "doc")
+    tasks = members.unionByName(centres).join(texts.hint("merge"), "doc")
     return _grouped(tasks, ["centre", "part"], [], _check_star, "a long, b long, common long, joined long")
 
 
@@ -249,7 +249,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     sig = kept(signatures(docs, key, text), "signatures")
     full = sig.filter("n > 0 and key is not null")
-    classes = full.groupBy("sa", "sb", "n").agg(F.min("key").alias("rep"))
+    # Kept, so that the join deals both sides itself and a hot class can be split.
+    classes = kept(full.groupBy("sa", "sb", "n").agg(F.min("key").alias("rep")), "classes")
     full = full.join(classes, ["sa", "sb", "n"])
     member = full.groupBy("key").agg(F.min("rep").alias("rep"), F.max("rep").alias("rep2"))
     reps = full.filter("key = rep")
@@ -257,7 +258,9 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     edges = kept(star_edges(buckets), "edges")
 
     wanted = edges.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = docs.select(docs[key].cast("long").alias("doc"), docs[text].alias("text")).join(wanted, "doc")
+    texts = docs.select(docs[key].cast("long").alias("doc"), docs[text].alias("text"))
+    # Neither side has a proven bound, so none is broadcast at any size.
+    texts = texts.join(wanted.hint("merge"), "doc")
     # Rows that share a key may share their text as well.
     texts = kept(texts, "texts")
     near = kept(check_stars(edges, texts), "stars")
@@ -272,7 +275,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select(F.col("component").alias("cluster"), F.col("node").alias("doc"),
                 F.coalesce("label", "node").alias("label"))
         .join(sizes.withColumnRenamed("key", "doc"), "doc"))
-    found = _grouped(tasks.join(texts, "doc"), ["cluster", "pair"], [], _check_blocks, "a long, b long")
+    found = _grouped(tasks.join(texts.hint("merge"), "doc"), ["cluster", "pair"], [], _check_blocks, "a long, b long")
     found = kept(found.distinct(), "links")
     if not found.isEmpty():
         stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
