@@ -149,7 +149,11 @@ def did_att(panel_rows: DataFrame, outcome: str = "rate_per_100k",
 def event_study(panel_rows: DataFrame, outcome: str = "rate_per_100k", before: int = 4,
                 after: int = 8, covariates: list[str] | None = None) -> DataFrame:
     """Coefficient per week relative to the first episode; the week before it is the base."""
+    # Weeks of treated regions outside the span belong neither to a week of the study nor to
+    # the base; only never treated regions serve beside them.
     timed = event_time(panel_rows, before, after)
+    ever = F.max("treated").over(Window.partitionBy("nuts3_code")) == 1
+    timed = timed.withColumn("_ever", ever).filter(~F.col("_ever") | F.col("event_week").isNotNull())
     relative = [k for k in range(-before, after + 1) if k != -1]
     names = {k: f"week_{'m' if k < 0 else 'p'}{abs(k)}" for k in relative}
     dummies = timed.withColumns({

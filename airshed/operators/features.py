@@ -101,8 +101,12 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [c.alias(name) for name, c in columns.items()]
 
 
-def add_history(df: DataFrame, frame: str = "rows", targets: str = "strict") -> DataFrame:
-    """Lags, rolling means and targets in one window stage, then the target filter."""
+def add_history(df: DataFrame, frame: str = "rows", targets: str = "strict",
+                known_targets: bool = True) -> DataFrame:
+    """Lags, rolling means and targets in one window stage, then the target filter.
+
+    ``known_targets=False`` keeps every row, as scoring the newest days needs it.
+    """
     lagged = _present(df, fv.FEATURE_POLLUTANTS + fv.FEATURE_WEATHER)
     rolled = _present(df, fv.ROLLING_COLUMNS)
     columns = {
@@ -110,7 +114,8 @@ def add_history(df: DataFrame, frame: str = "rows", targets: str = "strict") ->
         **rolling_columns(rolled, fv.ROLLING_DAYS, frame),
         **target_columns(targets),
     }
-    return with_targets_only(df.select("*", *_named(columns)))
+    history = df.select("*", *_named(columns))
+    return with_targets_only(history) if known_targets else history
 
 
 def add_calendar(df: DataFrame) -> DataFrame:

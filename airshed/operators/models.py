@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airshed.session import cut_lineage
 
@@ -58,14 +58,42 @@ def train(df: DataFrame, features: list[str], target: str = TARGET, kind: str =
 
 def score(model: PipelineModel, df: DataFrame, features: list[str],
           threshold: float = 0.5) -> DataFrame:
-    """Batch scoring: probability and the decision at the stored threshold."""
-    rows = df.dropna(subset=features)
-    scored = model.transform(rows.withColumns({c: F.col(c).cast("double") for c in features}))
-    probability = vector_to_array("probability")[1]
-    kept = scored.select(*df.columns, probability.alias("score"))
+    """Batch scoring: one row per input row, with the probability and the decision at the
+    stored threshold.  A row that lacks a feature has no score; ``missing`` names what it lacks.
+    """
+    values = {f"_x{i}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for i, c in enumerate(features)}
+    rows = df.select("*", missing_features(df, features).alias("missing"),
+                     F.array(*values.values()).alias("_values"))
+    rows = rows.withColumn("features", array_to_vector("_values"))
+    scored = PipelineModel(model.stages[1:]).transform(rows)
+    probability = F.when(F.col("missing") == "", vector_to_array("probability")[1])
+    kept = scored.select(*df.columns, "missing", probability.alias("score"))
     return kept.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def missing_features(df: DataFrame, features: list[str]) -> Column:
+    """Names of the features a row lacks, joined by commas."""
+    return F.concat_ws(",", *[F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(c))
+                              for c in features])
+
+
+def save(model: PipelineModel, features: list[str], threshold: float, path: str) -> None:
+    """The model with its features and threshold below one path."""
+    model.write().overwrite().save(f"{path}/model")
+    _session().createDataFrame([(features, float(threshold))], "features array<string>, threshold double").coalesce(
+        1).write.mode("overwrite").parquet(f"{path}/decision")
+
+
+def load(path: str) -> tuple[PipelineModel, list[str], float]:
+    """What ``save`` has stored."""
+    decision = _session().read.parquet(f"{path}/decision").first()
+    return PipelineModel.load(f"{path}/model"), list(decision["features"]), decision["threshold"]
+
+
+def _session() -> SparkSession:
+    return SparkSession.getActiveSession()
+
+
 def importance(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:
     """Importance per feature, largest first; trees only."""
     values = model.stages[-1].featureImportances.toArray()

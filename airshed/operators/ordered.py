@@ -51,13 +51,14 @@ def running_totals(df: DataFrame, keys: list[str], value: str,
 
     ``w``: its sum on this value, ``w_before``: over smaller values of the same
     keys, ``w_total``: over all values of the same keys.  Rows with a missing key
-    or value are left out; values must be finite.
+    or value, or with one that is not finite, are left out.
 
     The distinct values are read by three branches, so they are kept in the shared
     folder rather than derived three times.
     """
     names = list(weights)
-    known = fx.all_of([F.col(c).isNotNull() for c in [*keys, value]])
+    finite = F.abs(F.col(value)) < float("inf")  # false for NaN, which Spark sorts above all
+    known = fx.all_of([*[F.col(c).isNotNull() for c in [*keys, value]], finite])
     distinct = (
         df.filter(known)
         .groupBy(*keys, value)

@@ -208,6 +208,10 @@ def completeness(weekly: DataFrame, start: str, end: str, minimum_pct: float = 9
     expected = F.floor(F.datediff(last, first) / 7) + 1
     inside = weekly.filter(F.col("date").between(F.lit(start), F.lit(end)))
     counted = inside.groupBy("country_code").agg(F.countDistinct("date").alias("weeks_present"))
+    # Countries of which no week is there are the worst case, not an absent one.
+    countries = weekly.select("country_code").distinct()
+    counted = countries.join(counted, "country_code", "left").select(
+        "country_code", F.coalesce("weeks_present", F.lit(0)).cast("long").alias("weeks_present"))
     pct = F.round(fx.ratio(F.col("weeks_present"), expected) * 100, 1)
     return counted.select(
         "country_code", "weeks_present", expected.alias("expected"),

@@ -142,13 +142,19 @@ def instrument_relevance(df: DataFrame, instrument: str = "boundary_layer_height
 
 def with_p_value(df: DataFrame, t: str = "t") -> DataFrame:
     """Two-sided p of a t statistic by the normal tail (large samples)."""
-    return df.withColumn("p_value", 2 * (1 - normal_cdf(F.abs(F.col(t)))))
+    return df.withColumn("p_value", 2 * normal_tail(F.abs(F.col(t))))
 
 
 def normal_cdf(z: Column) -> Column:
-    """Normal distribution function of z >= 0 by its power series and tail fraction.
+    """Normal distribution function of z >= 0; absolute error under 1e-9."""
+    return 1 - normal_tail(z)
 
-    Series below 3, continued fraction above; absolute error under 1e-9.
+
+def normal_tail(z: Column) -> Column:
+    """Upper tail of the normal distribution at z >= 0.
+
+    From the power series below 3, from the continued fraction above, which keeps its
+    relative accuracy however small the tail is.
     """
     density = F.exp(-z * z / 2) / F.lit((2 * 3.141592653589793) ** 0.5)
     series, term = z, z
@@ -158,7 +164,7 @@ def normal_cdf(z: Column) -> Column:
     fraction = z
     for k in range(24, 0, -1):
         fraction = z + F.lit(float(k)) / fraction
-    return F.when(z < 3, F.lit(0.5) + density * series).otherwise(1 - density / fraction)
+    return F.when(z < 3, F.lit(0.5) - density * series).otherwise(density / fraction)
 
 
 def simple_fit(df: DataFrame, partners: list[str], y: str = "pm25_mean") -> DataFrame:
@@ -289,7 +295,7 @@ def seeded_sample(df: DataFrame, size: int, keys: list[str], seed: int = 42) ->
 
     The smallest hashes win; Spark keeps only ``size`` rows per task on the way.
     """
-    order = F.xxhash64(*keys, F.lit(seed))
+    order = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys]))
     return df.orderBy(order, *keys).limit(size)
 
 

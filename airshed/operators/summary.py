@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from airshed import fixed_values as fv
@@ -98,30 +96,26 @@ def country_days(df: DataFrame) -> DataFrame:
     return df.groupBy("country_code", "date").agg(F.avg("pm25_mean").alias("pm25_mean"))
 
 
-def cross_border_corr(df: DataFrame, countries: list[str] | None = None) -> DataFrame:
-    """Yearly correlation of country-day means, for each pair of the listed countries.
+def cross_border_corr(df: DataFrame) -> DataFrame:
+    """Yearly correlation of country-day means, for each pair of countries in the data.
 
-    The listed countries become columns, so each pair is one aggregate and no
-    rows are paired up.
+    Pairs are formed of countries within a year and of country-days within a day, so their
+    number is bounded by the calendar and the list of countries, whatever the number of
+    stations.  A pair with fewer than two common days has no correlation: null.
     """
-    countries = countries or sorted(fv.COUNTRY_NAMES)
-    wide = country_days(df).groupBy("date").agg(*[
-        F.max(F.when(F.col("country_code") == c, F.col("pm25_mean"))).alias(c) for c in countries
-    ])
-    pairs = list(combinations(countries, 2))
-    yearly = wide.groupBy(F.year("date").alias("year")).agg(*[
-        value.alias(f"{kind}_{a}_{b}")
-        for a, b in pairs
-        for kind, value in (
-            ("r", fx.correlation(F.col(a), F.col(b))),
-            ("n", F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull())),
-        )
-    ])
-    rows = F.array(*[
-        F.struct(
-            F.lit(a).alias("country_a"), F.lit(b).alias("country_b"),
-            F.col(f"r_{a}_{b}").alias("r"), F.col(f"n_{a}_{b}").alias("n_days"),
-        )
-        for a, b in pairs
-    ])
-    return yearly.select("year", F.inline(rows)).filter(F.col("n_days") > 1)
+    days = country_days(df).filter(F.col("country_code").isNotNull()).withColumn("year", F.year("date"))
+    value = F.col("pm25_mean")
+    first = days.select("year", "date", F.col("country_code").alias("country_a"), value.alias("a"))
+    second = days.select("date", F.col("country_code").alias("country_b"), value.alias("b"))
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    found = first.join(second, "date").filter("country_a < country_b").groupBy(
+        "year", "country_a", "country_b"
+    ).agg(fx.correlation(F.col("a"), F.col("b")).alias("r"), F.count_if(both).alias("n_days"))
+    listed = days.select("year", "country_code").distinct()
+    pairs = listed.withColumnRenamed("country_code", "country_a").join(
+        listed.withColumnRenamed("country_code", "country_b"), "year"
+    ).filter("country_a < country_b")
+    return pairs.join(found, ["year", "country_a", "country_b"], "left").select(
+        "year", "country_a", "country_b", F.when(F.col("n_days") > 1, F.col("r")).alias("r"),
+        F.coalesce("n_days", F.lit(0)).cast("long").alias("n_days"),
+    )

@@ -427,11 +427,16 @@ def seasonal_means(t: Inputs) -> DataFrame:
     return sm.seasonal_means(t.wide)
 
 
-@query("""select cast(year(a.date) as int) as year, a.country_code as country_a,
-  b.country_code as country_b, corr(a.pm25_mean, b.pm25_mean) as r,
-  count(case when a.pm25_mean is not null and b.pm25_mean is not null then 1 end) as n_days
-  from (select country_code, date, avg(pm25_mean) as pm25_mean from days group by 1,2) a
-  join (select country_code, date, avg(pm25_mean) as pm25_mean from days group by 1,2) b
-    on a.date = b.date and a.country_code < b.country_code group by 1,2,3""", "r")
+CD = "(select country_code, date, avg(pm25_mean) as pm25_mean from days group by 1,2)"
+
+
+@query(f"""select cast(year(a.date) as int) as year, a.country_code as country_a,
+  b.country_code as country_b, case when count(case when a.date = b.date and a.pm25_mean is not null
+    and b.pm25_mean is not null then 1 end) > 1 then corr(case when a.date = b.date then a.pm25_mean end,
+    case when a.date = b.date then b.pm25_mean end) end as r,
+  count(case when a.date = b.date and a.pm25_mean is not null and b.pm25_mean is not null then 1 end)
+    as n_days
+  from {CD} a join {CD} b on year(a.date) = year(b.date) and a.country_code < b.country_code
+  group by 1,2,3""", "r")
 def cross_border_corr(t: Inputs) -> DataFrame:
     return sm.cross_border_corr(t.wide)

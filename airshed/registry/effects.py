@@ -8,7 +8,7 @@ from airshed.operators import causal as cs, features as fe, metrics as mt, model
 from airshed.operators import summary as sm
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
-from airshed.session import cut_lineage
+from airshed.session import cut_lineage, scratch_path
 
 PANEL = """nuts3_code, monday, iso_year, iso_week, country_code, pm25_mean, temp_2m, wind_speed,
   precipitation, boundary_layer_height, station_days, treated, deaths, population, rate_per_100k"""
@@ -141,12 +141,12 @@ def health_impact(t: Inputs) -> DataFrame:
 # --- classifiers --------------------------------------------------------------------------
 
 MODEL_FEATURES = ["pm25_mean", "pm25_mean_lag1", "boundary_layer_height", "wind_speed", "temp_2m"]
-ROUNDS = 10
+SPLIT = ("2024-01-18", "2024-01-24")
 
 
-def _split(t: Inputs) -> DataFrame:
-    history = fe.add_calendar(fe.add_history(t.days))
-    return mt.temporal_split(history, "2024-01-18", "2024-01-24").select(
+def _split(t: Inputs, known_targets: bool = True) -> DataFrame:
+    history = fe.add_calendar(fe.add_history(t.days, known_targets=known_targets))
+    return mt.temporal_split(history, *SPLIT).select(
         "station_id", "date", *MODEL_FEATURES, "pm25_exceedance_t1", "pm25_exceedance_t2", "split"
     )
 
@@ -154,33 +154,45 @@ def _split(t: Inputs) -> DataFrame:
 @query()
 def model_scores(t: Inputs) -> DataFrame:
     rows = _split(t)
-    model = md.train(rows, MODEL_FEATURES, rounds=ROUNDS)
-    return md.score(model, rows, MODEL_FEATURES)
+    return md.score(md.train(rows, MODEL_FEATURES), rows, MODEL_FEATURES)
 
 
 @query()
 def logistic_scores(t: Inputs) -> DataFrame:
     rows = _split(t)
-    model = md.train(rows, MODEL_FEATURES, kind="logistic", rounds=50)
-    return md.score(model, rows, MODEL_FEATURES)
+    return md.score(md.train(rows, MODEL_FEATURES, kind="logistic"), rows, MODEL_FEATURES)
 
 
 @query()
 def feature_importance(t: Inputs) -> DataFrame:
     rows = _split(t)
-    return md.importance(md.train(rows, MODEL_FEATURES, rounds=ROUNDS), rows, MODEL_FEATURES)
+    return md.importance(md.train(rows, MODEL_FEATURES), rows, MODEL_FEATURES)
 
 
 @query()
 def batch_score(t: Inputs) -> DataFrame:
-    """Tomorrow and the day after, each with its own model, at a stored threshold."""
-    rows = _split(t)
-    keys = ["station_id", "date"]
-    scored = None
+    """Every station-day, the newest included, for tomorrow and the day after: each with its
+    own stored model, at the threshold chosen on the validation rows and stored beside it."""
+    rows = cut_lineage(_split(t, known_targets=False))
+    scored = rows
     for h in (1, 2):
-        model = md.train(rows, MODEL_FEATURES, f"pm25_exceedance_t{h}", "forest", ROUNDS)
-        one = md.score(model, rows, MODEL_FEATURES, threshold=0.4).select(
-            *keys, F.col("score").alias(f"score_t{h}"), F.col("predicted").alias(f"predicted_t{h}")
-        )
-        scored = one if scored is None else scored.join(one, keys)
-    return scored
+        target, path = f"pm25_exceedance_t{h}", scratch_path(t.spark, f"model-t{h}")
+        model = md.train(rows, MODEL_FEATURES, target)
+        checked = md.score(model, rows.filter("split = 'validation'"), MODEL_FEATURES)
+        chosen = mt.threshold_precision_floor(checked.withColumn("label", F.col(target)))
+        md.save(model, MODEL_FEATURES, chosen.first()["threshold"], path)
+        stored, features, threshold = md.load(path)
+        scored = md.score(stored, scored.drop("missing"), features, threshold).withColumnsRenamed(
+            {"score": f"score_t{h}", "predicted": f"predicted_t{h}"})
+    return scored.select("station_id", "date", "missing", "score_t1", "predicted_t1", "score_t2", "predicted_t2")
+
+
+MISSING = ", ".join(f"case when {c} is null then '{c}' end" for c in MODEL_FEATURES)
+
+
+@query(f"""select station_id, date, concat_ws(',', {MISSING}) as missing from (
+  select *, lag(pm25_mean) over (partition by station_id order by date) as pm25_mean_lag1 from days)""")
+def batch_score_reasons(t: Inputs) -> DataFrame:
+    """The rows that batch scoring covers, and what each lacks."""
+    rows = _split(t, known_targets=False)
+    return rows.select("station_id", "date", md.missing_features(rows, MODEL_FEATURES).alias("missing"))

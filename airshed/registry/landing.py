@@ -14,6 +14,7 @@ from airshed.operators import profile as pf, quality as ql
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
 from airshed.session import scratch_path
+from airshed.sources import landing as ld
 from airshed.sources import manifest as mf
 from airshed.sources import readings as sr
 from airshed.sources.sinks import write_partitioned
@@ -139,35 +140,54 @@ def missing_files(t: Inputs) -> DataFrame:
     return ql.missing_files(expected, _previous(t))
 
 
-def _files(t: Inputs, folder: str) -> DataFrame:
-    """Expected files with what was found: rows by one scan, size from the listing."""
+# A file lacks a column, one has no rows, one has not landed.
+COLUMN_LESS, EMPTY, ABSENT = "O3_E1a.parquet", "SO2_E1a.parquet", "NO2_E1a.parquet"
+CONTRACT = ld.Contract(tuple(RAW_COLUMNS), 1)
+
+
+def _faulty_landing(t: Inputs) -> str:
+    folder = scratch_path(t.spark, "landing")
+    name = F.concat("AirPollutant", F.lit("_"), "verification_level", F.lit(".parquet"))
+    rows = t.raw.select(*RAW_COLUMNS, name.alias("source"))
+    good = rows.filter(~F.col("source").isin(COLUMN_LESS, EMPTY, ABSENT))
+    good.hint("rebalance", "source").write.partitionBy("source").parquet(folder)
+    for file, part in ((COLUMN_LESS, rows.filter(F.col("source") == COLUMN_LESS).drop("Validity")),
+                       (EMPTY, rows.limit(0))):
+        part.drop("source").coalesce(1).write.parquet(f"{folder}/source={file}")
+    return folder
+
+
+def _report(t: Inputs, folder: str) -> DataFrame:
     pollutants = t.raw.select(F.col("AirPollutant").alias("pollutant")).distinct()
     expected = ql.expected_files(pollutants, t.raw.select("verification_level").distinct())
-    landed = sr.load_readings(t.spark, folder)
-    name = F.regexp_extract("_metadata.file_path", sr.NAME_IN_PATH, 1)
-    rows = t.spark.read.parquet(f"{folder}/*.parquet").groupBy(name.alias("file_name")).agg(
-        F.count("*").alias("n_rows")
-    )
-    absent = [c for c in RAW_COLUMNS if c not in landed.columns]
-    sizes = mf.landed_files(t.spark, folder, "*.parquet").select("file_name", "size_bytes")
-    found = expected.join(rows, ["file_name"], "left").join(sizes, ["file_name"], "left")
-    return found.select(
-        "file_name", F.col("n_rows").isNotNull().alias("found"), "size_bytes", "n_rows",
-        F.array(*[F.lit(c) for c in absent]).alias("missing_columns"),
-    )
+    found = ld.inspect(t.spark, folder, expected.select("file_name"), CONTRACT)
+    return ql.landing_report(found, min_bytes=CONTRACT.min_bytes)
 
 
-@query("""select concat(AirPollutant, '_', verification_level, '.parquet') as file_name,
-  true as found, count(*) as n_rows, true as size_ok, true as columns_ok, true as rows_ok,
-  true as passed from fx_readings group by 1""")
+EXPECTED = """select p.pollutant || '_' || l.level || '.parquet' as file_name, n from
+    (select distinct AirPollutant as pollutant from fx_readings) p
+    cross join (select distinct verification_level as level from fx_readings) l
+    left join (select AirPollutant, verification_level, count(*) as n from fx_readings group by 1, 2) r
+      on r.AirPollutant = p.pollutant and r.verification_level = l.level"""
+VERDICTS = f"""select file_name, n is not null and file_name <> '{ABSENT}' as found,
+    case when file_name = '{EMPTY}' then 0 when file_name <> '{ABSENT}' then n end as n_rows,
+    n is not null and file_name <> '{ABSENT}' as size_ok,
+    n is not null and file_name not in ('{ABSENT}', '{COLUMN_LESS}') as columns_ok,
+    n is not null and file_name not in ('{ABSENT}', '{EMPTY}') as rows_ok from ({EXPECTED})"""
+
+
+@query(f"select *, found and size_ok and columns_ok and rows_ok as passed from ({VERDICTS})")
 def landing_report(t: Inputs) -> DataFrame:
-    return ql.landing_report(_files(t, _landing(t)), min_bytes=1)
+    return _report(t, _faulty_landing(t))
 
 
-@query()
+@query(f"""select n_landed, all_passed, all_passed and n_landed > 0 as run_downstream from
+  (select count(*) as n_landed from ({MANIFEST.format(where='')}) c
+    left join ({MANIFEST.format(where=OLD)}) p on p.file_name = c.file_name
+    where p.file_name is null or not (c.size_bytes = p.size_bytes and c.modified <= p.modified)),
+  (select bool_and(n is not null) as all_passed from ({EXPECTED}))""")
 def new_data_gate(t: Inputs) -> DataFrame:
-    report = ql.landing_report(_files(t, _landing(t)), min_bytes=1)
-    return ql.new_data_gate(mf.manifest_diff(_manifest(t.raw), _previous(t)), report)
+    return ql.new_data_gate(mf.manifest_diff(_manifest(t.raw), _previous(t)), _report(t, _landing(t)))
 
 
 # --- streams ------------------------------------------------------------------------------

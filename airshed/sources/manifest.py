@@ -7,13 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from airshed.sources.readings import NAME_IN_PATH
+
+def name_below(folder: str, path: Column) -> Column:
+    """The dataset a path belongs to, relative to ``folder``; of a partition folder its value."""
+    root = folder.rstrip("/").split("/")[-1]
+    below = F.substring_index(path, f"/{root}/", -1)
+    return F.regexp_replace(F.regexp_replace(below, r"/part-[^/]*$", ""), r"(^|/)[^/=]*=", "$1")
 
 
 def landed_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """Files below a folder with size and time.  Contents are not read.
 
-    The part files of one dataset count as one entry named after its folder.
+    The part files of one dataset count as one entry named after its folder, given
+    relative to ``folder``, so that equal names in different folders stay apart.
     """
     files = (
         spark.read.format("binaryFile")
@@ -22,7 +28,7 @@ def landed_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -
         .load(folder)
         .select("path", "length", "modificationTime")
     )
-    return files.groupBy(F.regexp_extract("path", NAME_IN_PATH, 1).alias("file_name")).agg(
+    return files.groupBy(name_below(folder, F.col("path")).alias("file_name")).agg(
         F.sum("length").alias("size_bytes"), F.max("modificationTime").alias("modified")
     )
 

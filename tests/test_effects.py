@@ -74,6 +74,22 @@ def test_event_study_finds_no_pre_trend(panel):
     assert rows["week_p2"].estimate > 2
 
 
+def test_weeks_outside_the_event_window_do_not_move_the_base(spark):
+    """No effect inside the window, a large one after it: every estimate is zero."""
+    rng = random.Random(3)
+    rows = []
+    for r in range(12):
+        for w in range(30):
+            start = 6 + r % 3 if r < 6 else None
+            late = start is not None and w - start > 8
+            rows.append((f"R{r}", MONDAY + dt.timedelta(weeks=w), w + 1, int(start is not None and w == start),
+                         float(10 * r + w % 7 + (100 if late else 0)), rng.random()))
+    df = spark.createDataFrame(rows, "nuts3_code string, monday date, iso_week int, treated int, "
+                                     "rate_per_100k double, temp_2m double")
+    found = cs.event_study(df, covariates=["temp_2m"]).collect()
+    assert len(found) == 12 and all(abs(r.estimate) < 1e-6 for r in found)
+
+
 def test_event_time_is_bounded(panel):
     weeks = {r.event_week for r in cs.event_time(panel).collect()}
     assert weeks - {None} == set(range(-4, 9))
@@ -185,3 +201,20 @@ def test_normal_distribution_function(spark):
     df = spark.createDataFrame([(z,) for z in zs], "z double")
     for r in df.select("z", pf.normal_cdf(F.col("z")).alias("p")).collect():
         assert r.p == pytest.approx(0.5 * (1 + erf(r.z / sqrt(2))), abs=1e-8)
+
+
+def test_p_value_keeps_its_tail(spark):
+    from math import erfc, sqrt
+
+    ts = [0.0, 1.5, -2.5, 9.0, 12.0, 30.0]
+    for r in pf.with_p_value(spark.createDataFrame([(t,) for t in ts], "t double")).collect():
+        assert r.p_value == pytest.approx(erfc(abs(r.t) / sqrt(2)), rel=1e-6)
+
+
+def test_every_pair_of_countries_is_there(spark):
+    rows = [(c, dt.date(2024, 1, 1 + d), float(d * k + d % 3)) for k, c in enumerate(("FR", "PT", "IT"), 1) for d in range(6)]
+    rows += [("ZZ", dt.date(2024, 1, 2), 1.0), ("YY", dt.date(2024, 2, 2), 1.0)]
+    df = spark.createDataFrame(rows, "country_code string, date date, pm25_mean double")
+    found = {(r.country_a, r.country_b): (r.r, r.n_days) for r in sm.cross_border_corr(df).collect()}
+    assert len(found) == 10 and found["FR", "PT"][1] == 6
+    assert found["FR", "ZZ"] == (None, 1) and found["YY", "ZZ"] == (None, 0)

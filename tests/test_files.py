@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airshed.operators import readings as rd
+from airshed.sources import landing as ld
 from airshed.sources import manifest as mf, readings as sr, sinks, tables
 from airshed.streaming import ingest as si
 
@@ -64,6 +65,36 @@ def test_manifest_of_real_files(spark, tmp_path):
     assert diff == {"O3_E1a.parquet": "unchanged", "NO2_E1a.parquet": "new"}
 
 
+def test_equal_names_in_different_folders_stay_apart(spark, tmp_path):
+    for year in ("2019", "2020"):
+        (tmp_path / year).mkdir()
+        land(spark, str(tmp_path / year), "grid_01.parquet", [reading("1")])
+    names = {r.file_name for r in mf.landed_files(spark, str(tmp_path)).collect()}
+    assert names == {"2019/grid_01.parquet", "2020/grid_01.parquet"}
+
+
+def test_landed_files_are_inspected_one_by_one(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.range(3).selectExpr("id as a", "id as b").write.parquet(f"{folder}/good.parquet")
+    spark.range(3).selectExpr("id as a").write.parquet(f"{folder}/narrow.parquet")
+    spark.range(0).selectExpr("id as a", "id as b").write.parquet(f"{folder}/empty.parquet")
+    (tmp_path / "broken.parquet").write_bytes(b"not a table")
+    expected = spark.createDataFrame([(f"{n}.parquet",) for n in ("good", "narrow", "empty", "broken", "absent")],
+                                     "file_name string")
+    found = {r.file_name.split(".")[0]: r for r in ld.inspect(spark, folder, expected, ld.Contract(("a", "b"), 1)).collect()}
+    assert [(found[n].found, found[n].n_rows, found[n].missing_columns) for n in ("good", "narrow", "empty", "absent")] == [
+        (True, 3, []), (True, 3, ["b"]), (True, 0, []), (False, None, ["a", "b"])]
+    assert found["broken"].n_rows == 0 and found["broken"].missing_columns == ["a", "b"]
+
+
+def test_mortality_files_are_inspected_by_their_header(spark, tmp_path):
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "mortalitydata.csv").write_text("country,cause,deaths1\n1,J,5\n")
+    expected = spark.createDataFrame([("x/mortalitydata.csv",)], "file_name string")
+    row = ld.inspect(spark, str(tmp_path), expected, ld.MORTALITY).first()
+    assert (row.n_rows, row.missing_columns) == (1, ["year"])
+
+
 def test_manifest_statuses_and_rules(spark):
     t = dt.datetime(2024, 1, 10)
     schema = "file_name string, size_bytes long, modified timestamp"

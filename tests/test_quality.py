@@ -92,7 +92,9 @@ def test_models_learn_and_are_checked(spark):
         model = md.train(rows, features, kind=kind, rounds=5)
         scored = md.score(model, rows, features)
         assert scored.filter("score < 0 or score > 1").count() == 0
-        assert scored.count() == rows.dropna(subset=features).count()
+        assert scored.count() == rows.count()
+        assert scored.filter("score is not null").count() == rows.dropna(subset=features).count()
+        assert scored.filter("(score is null) <> (missing <> '')").count() == 0
         if kind == "gbt":
             table = md.importance(model, rows, features)
             assert table.first().feature.startswith("pm25")
@@ -103,6 +105,24 @@ def test_models_learn_and_are_checked(spark):
             assert not ql.gate(report).first().safe_to_train
 
 
+def test_stored_model_scores_alike(spark, tmp_path):
+    rows = store(spark, n=60, stations=3).withColumn("split", F.lit("train"))
+    features = ["pm25_mean", "pm25_mean_lag1"]
+    model = md.train(rows, features, kind="forest", rounds=5)
+    md.save(model, features, 0.3, str(tmp_path))
+    stored, names, threshold = md.load(str(tmp_path))
+    assert (names, threshold) == (features, 0.3)
+    a = md.score(model, rows, features, 0.3).select("station_id", "date", "score", "predicted").collect()
+    b = md.score(stored, rows, names, threshold).select("station_id", "date", "score", "predicted").collect()
+    assert sorted(a) == sorted(b) and any(r.predicted for r in a)
+
+
+def test_undecided_correlations_fail(spark):
+    df = store(spark).withColumn("boundary_layer_height_lag7", F.lit(1.0))
+    report = {r.check_name: r for r in ql.store_checks(df, 10).collect()}
+    assert not report["lag_correlations_below_99"].passed
+
+
 def test_class_weight(spark):
     df = spark.createDataFrame([("train", 0)] * 6 + [("train", 1)] * 2 + [("test", 1)] * 9,
                                "split string, pm25_exceedance_t1 int")
