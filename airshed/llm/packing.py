@@ -35,7 +35,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(rf"[{LATIN}0-9 \n!-&(-/:-@\[-`{{-~]*")
 PRE_TOKEN = re.compile(rf" ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 #: Characters encoded together.
 TOGETHER = 2_000_000
 POOL = 512
@@ -104,50 +104,61 @@ def encoder(path: str | None) -> Encoder:
     return _ENCODERS[path]
 
 
+class Item:
+    """Ids ``start`` to ``end`` of a document; ids from ``free`` to the separator bear loss."""
+
+    __slots__ = ("document", "ids", "free", "total", "start", "end")
+
+    def __init__(self, document, ids: bytes, free: int, start: int, end: int):
+        self.document, self.ids, self.free = document, ids, free
+        self.total, self.start, self.end = len(ids) // 4, start, end
+
+    def loss(self, end: int) -> int:
+        return max(0, min(end, self.total - 1) - max(self.start, self.free))
+
+    def fitting(self, room: int, room_loss: int) -> int:
+        """The end of the longest first part within both limits."""
+        end = min(self.end, self.start + room)
+        return end if self.loss(end) <= room_loss else max(self.start, self.free) + room_loss
+
+
 class Packer:
     """Packs the items of one partition; ``out`` gathers rows of placed pieces."""
 
     def __init__(self, limits: Limits, partition: int):
         self.limits = limits
         self.next = partition << 36
-        self.items: list[tuple] = []  # (document, start, ids, loss flags, document length)
+        self.items: list[Item] = []
         self.out: list[tuple] = []
 
-    def place(self, item: tuple, sequence: int, offset: int) -> None:
-        document, start, ids, loss, total = item
-        self.out.append((document, start, len(loss), zlib.crc32(ids), total, sequence, offset,
-                         int(loss.sum()), ids))
-
-    def add(self, document, ids: bytes, loss: np.ndarray) -> None:
-        """Cut off runs that fill a sequence; the end joins the pool."""
-        total, start = len(loss), 0
-        while total - start >= self.limits.tokens:
-            size = self._fitting(loss[start:], self.limits.tokens, self.limits.loss)
-            item = (document, start, ids[4 * start:4 * (start + size)],
-                    loss[start:start + size], total)
-            if size < self.limits.tokens:
-                self.items.append(item)
-            else:
-                self.place(item, self.next, 0)
+    def place(self, item: Item, end: int, sequence: int, offset: int) -> None:
+        start = item.start
+        ids = item.ids[4 * start:4 * end]
+        self.out.append((item.document, start, end - start, zlib.crc32(ids), item.total, sequence,
+                         offset, item.loss(end), ids))
+        item.start = end
+
+    def add(self, document, ids: bytes, free: int = 0) -> None:
+        """Cut off runs that fill a sequence; the end joins the pool.  ``free``: how many
+        ids at the front bear no loss."""
+        limits, total, start = self.limits, len(ids) // 4, 0
+        while start < total:
+            item = Item(document, ids, free, start, total)
+            start = item.fitting(limits.tokens, limits.loss)
+            if start - item.start == limits.tokens:
+                self.place(item, start, self.next, 0)
                 self.next += 1
-            start += size
-        if start < total:
-            self.items.append((document, start, ids[4 * start:], loss[start:], total))
+            else:
+                item.end = start
+                self.items.append(item)
         if len(self.items) >= 2 * POOL:
             self.pack(POOL)
 
-    @staticmethod
-    def _fitting(loss: np.ndarray, room: int, room_loss: int) -> int:
-        """The longest prefix within both limits."""
-        part = np.cumsum(loss[:room])
-        return int(np.searchsorted(part, room_loss, side="right"))
-
     def pack(self, leave: int = 0) -> None:
         """Fill sequences from the pool until at most ``leave`` items are left."""
-        limits = self.limits
-        items = self.items
-        size = np.array([len(i[3]) for i in items], dtype=np.float64)
-        loss = np.array([i[3].sum() for i in items], dtype=np.float64)
+        limits, items = self.limits, self.items
+        size = np.array([i.end - i.start for i in items], dtype=np.float64)
+        loss = np.array([i.loss(i.end) for i in items], dtype=np.float64)
         there = np.ones(len(items), dtype=bool)
         left = len(items)
         while left > leave:
@@ -158,22 +169,19 @@ class Packer:
                     score = (size * (room / limits.tokens**2) + segments / limits.segments**2
                              + loss * (room_loss / limits.loss**2))
                     k = int(np.argmax(np.where(fits, score, -1.0)))
-                    item, there[k] = items[k], False
+                    end, there[k] = items[k].end, False
                     left -= 1
                 else:
                     # Nothing fits whole: cut the longest item to the room.
                     k = int(np.argmax(np.where(there, size, -1.0)))
-                    document, start, ids, flags, total = items[k]
-                    p = self._fitting(flags, room, room_loss)
-                    if p == 0 or (p < SMALLEST_CUT and offset):
+                    end = items[k].fitting(room, room_loss)
+                    if end - items[k].start < (SMALLEST_CUT if offset else 1):
                         break
-                    item = (document, start, ids[:4 * p], flags[:p], total)
-                    items[k] = (document, start + p, ids[4 * p:], flags[p:], total)
-                    size[k], loss[k] = len(flags) - p, flags[p:].sum()
-                self.place(item, self.next, offset)
-                n = len(item[3])
-                offset, room, segments = offset + n, room - n, segments - 1
-                room_loss -= int(item[3].sum())
+                item = items[k]
+                n, used = end - item.start, item.loss(end)
+                self.place(item, end, self.next, offset)
+                size[k], loss[k] = item.end - item.start, item.loss(item.end)
+                offset, room, segments, room_loss = offset + n, room - n, segments - 1, room_loss - used
             self.next += 1
         self.items = [i for i, t in zip(items, there) if t]
 
@@ -226,11 +234,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", prompt: str |
             texts = code([t or "" for t in part["c1"]])
             before = code([q or "" for q in part["c2"]]) if prompt else [b""] * len(part)
             for k, t, q in zip(keys, texts, before):
-                ids = q + t + end
-                loss = np.ones(len(ids) // 4, dtype=np.uint8)
-                loss[:len(q) // 4] = 0
-                loss[-1] = 0
-                packer.add(k, ids, loss)
+                packer.add(k, q + t + end, len(q) // 4)
             yield rows_out()
         packer.pack()
         yield rows_out()
