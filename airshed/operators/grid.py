@@ -27,7 +27,9 @@ def daily_grid(grid: DataFrame) -> DataFrame:
     precipitation; the minimum of the boundary layer.  Out: degrees C, hPa, mm.
     """
     mean = {c: F.avg(fx.nan_to_null(F.col(c))) for c in ("t2m", "u10", "v10", "sp", "blh")}
-    daily = grid.groupBy("latitude", "longitude", F.to_date("time").alias("date")).agg(
+    # Whatever the session's time zone is.
+    day = F.to_date(F.to_utc_timestamp("time", F.current_timezone())).alias("date")
+    daily = grid.groupBy("latitude", "longitude", day).agg(
         (mean["t2m"] - 273.15).alias("t2m"),
         mean["u10"].alias("u10"),
         mean["v10"].alias("v10"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from airshed import fixed_values as fv
 from airshed.functions import columns as fx
@@ -109,13 +109,20 @@ def who_mortality(table: DataFrame, countries: dict[str, str] | None = None) ->
 
 
 def harmonise_codes(df: DataFrame, correspondence: DataFrame, code: str = "nuts3_code",
-                    vintage: str = "vintage") -> DataFrame:
-    """Region codes of older classifications to the current one; unlisted codes stay."""
+                    vintage: str = "vintage", values: tuple[str, ...] = ()) -> DataFrame:
+    """Region codes of older classifications to the current one; unlisted codes stay.
+
+    A code that was split comes out once per new code.  ``values`` are shared out over
+    them: by the ``share`` column of the correspondence where it has one, else evenly.
+    """
+    whole = F.count("*").over(Window.partitionBy("old_code", "vintage"))
+    part = F.col("share") if "share" in correspondence.columns else 1 / whole
     table = correspondence.select(
-        F.col("old_code").alias(code), F.col("vintage").alias(vintage), "new_code"
+        F.col("old_code").alias(code), F.col("vintage").alias(vintage), "new_code", part.alias("_part")
     )
     mapped = salted_left_join(df, table, [code, vintage], [c for c in df.columns])
-    return mapped.withColumn(code, F.coalesce("new_code", code)).drop("new_code")
+    shared = {c: F.col(c) * F.coalesce("_part", F.lit(1.0)) for c in values}
+    return mapped.withColumns({code: F.coalesce("new_code", code), **shared}).drop("new_code", "_part")
 
 
 def regions_by_box(stations: DataFrame, boxes: DataFrame, cell: float = 1.0) -> DataFrame:

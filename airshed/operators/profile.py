@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from airshed import fixed_values as fv
 from airshed.functions import columns as fx
 from airshed.operators.ordered import quantiles
+from airshed.session import cut_lineage
 
 
 def scan(df: DataFrame, countries: list[str] | None = None, start: str | None = None,
@@ -197,10 +198,12 @@ def histogram(df: DataFrame, column: str, bins: int = 60, by: str | None = None)
     """
     keys = [by] if by else []
     known = df.filter(fx.all_of([F.col(c).isNotNull() for c in [*keys, column]]))
-    span = known.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    # Span and bins both come from the distinct values, so the table is read once.
+    counts = cut_lineage(known.groupBy(*keys, column).agg(F.count("*").alias("n")))
+    span = counts.agg(F.min(column).alias("low"), F.max(column).alias("high"))
     low, high = span.select("low").scalar(), span.select("high").scalar()
     place = _bin(F.col(column), low, high, bins).alias("bin")
-    grouped = known.groupBy(*keys, place).agg(F.count("*").alias("n"))
+    grouped = counts.groupBy(*keys, place).agg(F.sum("n").alias("n"))
     width = (high - low) / bins
     # One row per class and bin, so this window is short.
     whole = F.sum("n").over(Window.partitionBy(*keys))

@@ -49,9 +49,27 @@ def clip(df: DataFrame, bounds: dict[str, float] | None = None) -> DataFrame:
     return df.withColumn("value", F.least("value", bound))
 
 
+def has_keys() -> Column:
+    """Readings without station, pollutant or a readable start belong to no station-day."""
+    return fx.all_of([F.col(c).isNotNull() for c in KEYS])
+
+
 def prepared(raw: DataFrame) -> DataFrame:
-    """Rename, cast, date, country, validity filter and clip: one narrow stage, no shuffle."""
-    return clip(valid_only(with_country(with_calendar(standardise(raw)))))
+    """Rename, cast, date, country, key and validity filters and clip: one narrow stage."""
+    dated = with_country(with_calendar(standardise(raw)))
+    return clip(valid_only(dated.filter(has_keys())))
+
+
+def removed(raw: DataFrame) -> DataFrame:
+    """One row: how many readings there are, and how many ``prepared`` leaves out and why."""
+    dated = with_calendar(standardise(raw))
+    valid = F.coalesce((F.col("validity") >= fv.MIN_VALIDITY) & (F.col("value") >= 0), F.lit(False))
+    return dated.agg(
+        F.count("*").alias("n_readings"),
+        F.count_if(~has_keys()).alias("n_without_key"),
+        F.count_if(has_keys() & ~valid).alias("n_invalid"),
+        F.count_if(has_keys() & valid).alias("n_kept"),
+    )
 
 
 def level_rank(levels: tuple[str, ...]) -> Column:

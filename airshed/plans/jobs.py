@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.operators import features, grid, outcomes, quality, readings, summary
+from airshed import fixed_values as fv
+from airshed.operators import features, grid, metrics, models, outcomes, quality, readings, summary
 from airshed.session import build_session
+from airshed.sources import landing as landed
 from airshed.sources import tables
 from airshed.sources.readings import load_readings
 from airshed.sources.sinks import write_partitioned
@@ -58,14 +60,47 @@ def join_features(spark: SparkSession, clean: str, weather: str, weekly: str, ta
     write_partitioned(summary.station_year(written), aggregations)
 
 
+def baseline_checks(store: DataFrame) -> DataFrame:
+    """Checks of a baseline model: trained on the first 70 % of the period, stopped early by
+    the next 15 %, measured on the rest."""
+    first, last = store.agg(F.min("date"), F.max("date")).first()
+    ends = [str(first + (last - first) * part) for part in (0.70, 0.85)]
+    rows = metrics.temporal_split(store, *ends)
+    features = [c for c in fv.BASELINE_FEATURES if c in store.columns]
+    complete = rows.dropna(subset=[*features, models.TARGET])
+    there = {r["split"] for r in complete.select("split").distinct().collect()}
+    if not {"train", "validation"} <= there:  # no model, so its checks are undecided: failed
+        spark = store.sparkSession
+        return quality.model_checks(
+            spark.createDataFrame([(None, None)], "roc_auc double, recall double"),
+            spark.createDataFrame([("none", 0.0)], "feature string, importance double"))
+    model = models.train(rows, features)
+    scored = models.score(model, rows.filter("split = 'test'"), features)
+    measured = metrics.classification_metrics(scored.withColumn("label", F.col(models.TARGET)))
+    return quality.model_checks(measured, models.importance(model, rows, features))
+
+
 def validate(spark: SparkSession, store: str, target: str) -> DataFrame:
-    """Check report of a feature store; returns the totals and the verdict."""
-    quality.quality_report(spark.read.parquet(store)).write.mode("overwrite").parquet(target)
+    """The whole report of a feature store, schema and baseline model included; returns the
+    totals and the verdict."""
+    table = spark.read.parquet(store)
+    report = quality.quality_report(table, model=baseline_checks(table), schema=True)
+    report.write.mode("overwrite").parquet(target)
     return quality.gate(spark.read.parquet(target))
 
 
+def landing(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Check of the reading files below a folder, one row per expected file."""
+    pollutants = spark.createDataFrame([(p,) for p in fv.POLLUTANT_BOUNDS], "pollutant string")
+    levels = spark.createDataFrame([(x,) for x in fv.VERIFICATION_LEVELS], "verification_level string")
+    expected = quality.expected_files(pollutants, levels).select("file_name")
+    found = landed.inspect(spark, source, expected, landed.READINGS)
+    quality.landing_report(found).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
 JOBS = {"readings": clean_readings, "weather": clean_weather, "outcomes": clean_outcomes,
-        "features": join_features, "validate": validate}
+        "features": join_features, "validate": validate, "landing": landing}
 
 
 def main() -> None:

@@ -104,3 +104,15 @@ def test_many_stations_on_one_node_match_numpy(spark):
             total = sum((1 - abs(a - p)) * (1 - abs(b - q)) * value[(p, q)]
                         for p in (i, i + 1) for q in (j, j + 1) if (p, q) in value)
             assert found[s] == pytest.approx(total + 0.5, abs=1e-6)
+
+
+def test_days_are_utc_in_any_session(spark):
+    rows = spark.sql("select 50.0 as latitude, 5.0 as longitude, timestamp_seconds(1704067200 + 3600 * h) as time, "
+                     "280.0 as t2m, 1.0 as u10, 1.0 as v10, 1e5 as sp, 0.001 as tp, 500.0 as blh from "
+                     "(select explode(sequence(0, 23)) as h)")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert [str(r.date) for r in gr.daily_grid(rows).collect()] == ["2024-01-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

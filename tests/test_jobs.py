@@ -47,7 +47,18 @@ def test_jobs_equal_the_single_plan(spark, run):
     assert who.parquet(f"{run}/health/who_mortality").count() == 0
     assert spark.read.parquet(f"{run}/health/weekly_by_cause").count() > 0
     verdict = jobs.validate(spark, f"{run}/store", f"{run}/report").first()
-    assert verdict.n_checks == 20 and verdict.n_critical_failed == 0
+    assert verdict.n_checks == 27
+    report = spark.read.parquet(f"{run}/report")
+    assert report.filter("critical").count() == 11
+    failed = {r.check_name for r in report.filter("critical and not passed").collect()}
+    assert failed <= {"baseline_auc_above_075", "baseline_recall_above_50"}
+
+
+def test_landing_job_names_what_is_absent(spark, run):
+    spark.range(3).selectExpr("id as Value").write.mode("overwrite").parquet(f"{run}/landed/O3_E1a.parquet")
+    report = {r.file_name: r for r in jobs.landing(spark, f"{run}/landed", f"{run}/landing_report").collect()}
+    assert len(report) == 10 and not any(r.passed for r in report.values())
+    assert [n for n, r in report.items() if r.found] == ["O3_E1a.parquet"] and not report["O3_E1a.parquet"].columns_ok
 
 
 def test_column_families(spark, run):

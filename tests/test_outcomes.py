@@ -72,3 +72,15 @@ def test_harmonise_codes(spark):
                                   "old_code string, vintage int, new_code string")
     assert {(r.nuts3_code, r.n) for r in oc.harmonise_codes(rows, table).collect()} == {
         ("NEW", 1), ("OLD", 2), ("NEW", 3)}
+
+
+def test_split_codes_share_their_values(spark):
+    rows = spark.createDataFrame([("A", "2016", 10.0), ("B", "2016", 4.0)], "nuts3_code string, vintage string, n double")
+    table = [("A", "2016", "A1"), ("A", "2016", "A2")]
+    even = spark.createDataFrame(table, "old_code string, vintage string, new_code string")
+    got = {r.nuts3_code: r.n for r in oc.harmonise_codes(rows, even, values=("n",)).collect()}
+    assert got == {"A1": 5.0, "A2": 5.0, "B": 4.0}
+    named = spark.createDataFrame([(*t, s) for t, s in zip(table, (0.8, 0.2))],
+                                  "old_code string, vintage string, new_code string, share double")
+    got = {r.nuts3_code: r.n for r in oc.harmonise_codes(rows, named, values=("n",)).collect()}
+    assert got == {"A1": 8.0, "A2": 2.0, "B": 4.0}

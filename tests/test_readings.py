@@ -102,3 +102,13 @@ def test_hot_station_in_many_partitions(spark):
     got = daily.assign(date=daily["date"].astype(str)).set_index(["station_id", "date"])
     assert len(got) == len(expected)
     assert (got["value_mean"].sort_index().values - expected.sort_index().values).max() < 1e-9
+
+
+def test_readings_without_keys_are_left_out_and_counted(spark):
+    rows = [("FR1", "O3", "2024-01-01 01:00:00", "5", "1"), (None, "O3", "2024-01-01 01:00:00", "5", "1"),
+            ("FR1", "O3", "soon", "5", "1"), ("FR1", "O3", "2024-01-01 02:00:00", "-5", "1"),
+            ("FR1", "O3", "2024-01-01 02:00:00", None, "1")]
+    raw = spark.createDataFrame(rows, "AirQualityStationEoICode string, AirPollutant string, Start string, "
+                                      "Value string, Validity string")
+    assert rd.prepared(raw).count() == 1
+    assert tuple(rd.removed(raw).first()) == (5, 2, 2, 1)
