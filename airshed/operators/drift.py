@@ -64,8 +64,46 @@ def psi(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
     found = psi_bins(df, features, bins).groupBy("feature").agg(
         F.sum((p - q) * F.log(p / q)).alias("psi")
     )
+    return found.withColumn("level", _psi_level())
+
+
+def baseline_table(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
+    """What is stored of a training period: per feature its edges and the share of each bin.
+
+    One row per feature; written once after training, so that later runs need no raw rows.
+    """
+    periods = psi_bins(df.withColumn("is_current", F.lit(False)), features, bins)
+    shares = periods.groupBy("feature").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "share_base"))).alias("found"),
+        F.sum("n_base").alias("n_base"),
+    )
+    edges = baseline_edges(long_features(df.withColumn("is_current", F.lit(False)), features), bins)
+    filled = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)),
+                         lambda b: F.coalesce(F.col("found")[b], F.lit(0.0)))
+    return shares.join(edges, "feature").select("feature", "edges", filled.alias("shares"), "n_base")
+
+
+def psi_against(current: DataFrame, table: DataFrame) -> DataFrame:
+    """Population stability index of the current rows against a stored baseline."""
+    features = [r["feature"] for r in table.select("feature").collect()]  # one row per column
+    counts = current.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        [], features, "feature", "value").filter(F.col("value").isNotNull())
+    # One row per feature name: bounded by the schema, so it may be broadcast.
+    placed = counts.join(F.broadcast(table), "feature").groupBy(
+        "feature", F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("bin")
+    ).agg(F.count("*").alias("n"))
+    bins = table.select("feature", F.posexplode("shares").alias("bin", "share_base"))
+    joined = bins.join(placed, ["feature", "bin"], "left")
+    whole = F.sum("n").over(Window.partitionBy("feature"))
+    shares = joined.select("feature", "share_base", F.coalesce(fx.ratio(F.col("n"), whole), F.lit(0.0)).alias("share_current"))
+    p, q = _floored("share_current"), _floored("share_base")
+    found = shares.groupBy("feature").agg(F.sum((p - q) * F.log(p / q)).alias("psi"))
+    return found.withColumn("level", _psi_level())
+
+
+def _psi_level() -> Column:
     level = F.when(F.col("psi") > 0.25, "alert").when(F.col("psi") >= 0.1, "warning")
-    return found.withColumn("level", level.otherwise("stable"))
+    return level.otherwise("stable")
 
 
 def ks_test(df: DataFrame, features: list[str], alpha: float = 0.01) -> DataFrame:

@@ -130,7 +130,7 @@ def cate_two_season(t: Inputs) -> DataFrame:
   from (select nuts3_code, avg(pm25_mean) as pm25_mean, max(population) as population
     from panel group by 1)""", "pm25_mean exposure_change deaths_avoided")
 def health_impact(t: Inputs) -> DataFrame:
-    rows = _panel(t)
+    rows = cut_lineage(_panel(t))  # read for the regions and for the slope
     regions = rows.groupBy("nuts3_code").agg(
         F.avg("pm25_mean").alias("pm25_mean"), F.max("population").alias("population")
     )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from airshed import fixed_values as fv
 from airshed.operators import drift as dr, metrics as mt
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
+from airshed.session import scratch_path
 
 CURVE = """select score, 1.0*sum(p) over w / (sum(p) over w + sum(q) over w) as precision,
   1.0*sum(p) over w / sum(p) over () as recall from (
@@ -167,17 +169,21 @@ LONG = " union all ".join(f"select '{f}' as feature, {f} as value, is_current fr
                           for f in FEATURES)
 
 
-@query(f"""select feature, sum((p-q)*ln(p/q)) as psi, case when sum((p-q)*ln(p/q)) > 0.25
+def _psi_sql(rows: str) -> str:
+    return f"""select feature, sum((p-q)*ln(p/q)) as psi, case when sum((p-q)*ln(p/q)) > 0.25
     then 'alert' when sum((p-q)*ln(p/q)) >= 0.1 then 'warning' else 'stable' end as level from (
   select feature, bin, greatest(1e-4, 1.0*count(case when is_current then 1 end)
       / sum(count(case when is_current then 1 end)) over (partition by feature)) as p,
     greatest(1e-4, 1.0*count(case when not is_current then 1 end)
       / sum(count(case when not is_current then 1 end)) over (partition by feature)) as q
   from (select l.feature, is_current, len(list_filter(e.edges, lambda x: x < l.value)) as bin
-    from ({LONG}) l join (
+    from ({rows}) l join (
       select feature, quantile_cont(value, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) as edges
-      from ({LONG}) where not is_current group by 1) e on e.feature = l.feature)
-  group by 1,2) group by 1""", "psi")
+      from ({rows}) where not is_current group by 1) e on e.feature = l.feature)
+  group by 1,2) group by 1"""
+
+
+@query(_psi_sql(LONG), "psi")
 def psi(t: Inputs) -> DataFrame:
     return dr.psi(t.scores, FEATURES)
 
@@ -185,7 +191,8 @@ def psi(t: Inputs) -> DataFrame:
 KS_P = " + ".join(f"{2 * (-1) ** (k - 1)} * exp(-2.0*{k * k}*z*z)" for k in range(1, 31))
 
 
-@query(f"""select feature, statistic, n_base, n_current, case when z < 0.2 then 1.0
+def _ks_sql(rows: str) -> str:
+    return f"""select feature, statistic, n_base, n_current, case when z < 0.2 then 1.0
     else greatest(0.0, least(1.0, {KS_P})) end as p_value,
   (case when z < 0.2 then 1.0 else greatest(0.0, least(1.0, {KS_P})) end) < 0.01 as alert from (
   select *, sqrt(1.0*n_base*n_current/(n_base+n_current))*statistic as z from (
@@ -196,13 +203,41 @@ KS_P = " + ".join(f"{2 * (-1) ** (k - 1)} * exp(-2.0*{k * k}*z*z)" for k in rang
         cast(sum(b) over (partition by feature) as double) as nb,
         cast(sum(c) over (partition by feature) as double) as nc from (
           select feature, value, count(case when not is_current then 1 end) as b,
-            count(case when is_current then 1 end) as c from ({LONG}) group by 1,2)
-      window w as (partition by feature order by value)) group by 1))""",
-       "statistic p_value")
+            count(case when is_current then 1 end) as c from ({rows}) group by 1,2)
+      window w as (partition by feature order by value)) group by 1))"""
+
+
+@query(_ks_sql(LONG), "statistic p_value")
 def ks_test(t: Inputs) -> DataFrame:
     return dr.ks_test(t.scores, FEATURES)
 
 
+SINCE = "2024-01-20"
+MEASURES = [*fv.FEATURE_POLLUTANTS, *[c for c in fv.FEATURE_WEATHER if c != "low_blh_flag"]]
+
+
+def _days_long(features: list[str]) -> str:
+    return " union all ".join(
+        f"select '{c}' as feature, cast({c} as double) as value, date >= date '{SINCE}' as is_current "
+        f"from days where {c} is not null" for c in features)
+
+
+@query(_psi_sql(_days_long(MEASURES)), "psi")
+def psi_store(t: Inputs) -> DataFrame:
+    """The newest days against the stored baseline of the days before."""
+    path = scratch_path(t.spark, "baseline")
+    dr.baseline_table(t.days.filter(F.col("date") < SINCE), MEASURES).write.parquet(path)
+    return dr.psi_against(t.days.filter(F.col("date") >= SINCE), t.spark.read.parquet(path))
+
+
+WATCHED_BY_KS = ["pm25_mean", "boundary_layer_height", "temp_2m"]
+
+
+@query(_ks_sql(_days_long(WATCHED_BY_KS)), "statistic p_value")
+def ks_store(t: Inputs) -> DataFrame:
+    return dr.ks_test(t.days.withColumn("is_current", F.col("date") >= SINCE), WATCHED_BY_KS)
+
+
 @query("""select sum(p*ln(p/q)) as kl, sum(p*ln(p/q)) > 0.1 as alert from (
   select bin, greatest(1e-4, 1.0*count(case when is_current then 1 end)
       / sum(count(case when is_current then 1 end)) over ()) as p,
