@@ -124,8 +124,18 @@ def roc_auc(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def classification_metrics(df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Confusion counts, rates, Brier score and AUC: one row."""
-    return _aggregated(df, [], threshold).withColumn("roc_auc", roc_auc(df).scalar())
+    """Confusion counts, rates, Brier score and AUC: one row, all from one table of scores."""
+    s, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
+    hit = s >= threshold
+    cells = {"tp": F.when(hit, pos), "fp": F.when(hit, neg), "fn": F.when(~hit, pos), "tn": F.when(~hit, neg)}
+    found = score_table(df).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in cells.items()],
+        fx.ratio(F.sum(pos * (s - 1) * (s - 1) + neg * s * s), F.sum(pos + neg)).alias("brier"),
+        F.sum(pos * (F.col("neg_before") + neg / 2.0)).alias("_u"),
+        F.max(F.col("pos_total") * F.col("neg_total")).alias("_pq"),
+    )
+    return found.select(*cells, "brier", *[c.alias(n) for n, c in rates().items()],
+                        fx.ratio(F.col("_u"), F.col("_pq")).alias("roc_auc"))
 
 
 def recall_by(df: DataFrame, keys: list[str], threshold: float = 0.5,
