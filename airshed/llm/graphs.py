@@ -14,18 +14,18 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(ends)
 
 
-def _star(edges: DataFrame, large: bool, label: str) -> DataFrame:
+def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hook the neighbours of every node onto its smallest neighbour.
 
     ``large``: larger neighbours of a node move to the smallest of all, the node
     included; otherwise smaller neighbours and the node move to the smallest of them.
     The smallest neighbour is an aggregate, so a node with millions of links needs no
-    group in memory.  It is kept before the join, which then deals out both sides anew, so
-    that Spark can split the rows of such a node.
+    group in memory.  The rows of one node are dealt to one task of the join behind it, as a
+    stream of two numbers each.
     """
     near = _both_ways(edges)
     near = near if large else near.filter("v < u")
-    least = kept(near.groupBy("u").agg(F.min("v").alias("m")), label)
+    least = near.groupBy("u").agg(F.min("v").alias("m"))
     if large:
         least = least.select("u", F.least("u", "m").alias("m"))
         moved = near.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -52,7 +52,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
                  .distinct(), label)
     before = _summary(edges)
     while before[0]:
-        edges = kept(_star(_star(edges, True, label), False, label), label)
+        edges = kept(_star(_star(edges, True), False), label)
         after = _summary(edges)
         if after == before:
             break
