@@ -7,12 +7,16 @@
 3. In a bucket, every representative is joined to the smallest one: a star, so the
    number of candidate pairs grows with the rows and not with their square.
 4. Stars are confirmed on whole sets.  Hot centres are split over tasks.
-5. A star only tests pairs with its centre.  Where stars with likeness of at least a half
-   connect documents that are still in different components, all pairs between those
-   components are tested as well, in blocks of documents of similar set size; a pair of
-   blocks that is in one component already is left out.
-
-At likeness 0.75 a pair shares no band with probability 5e-6.
+5. A star only tests pairs with its centre, which may be unlike two members that are alike.
+   So in a bucket of more than two, all members of different components are compared by the
+   low bytes of their bins.
+6. Where stars or bins with likeness of at least a half connect documents that are still in
+   different components, all pairs between those components are tested on whole sets, in
+   blocks of documents of similar set size; a pair of blocks that is in one component
+   already is left out.
+
+At likeness 0.75 a pair shares no band with probability 5e-6, and fewer than half of its
+bins with less than 1e-8.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ SHINGLE = 5
 BINS, BANDS = 128, 32
 #: Link from this percentage of intersection to union.
 PERCENT = 75
-#: Stars from this percentage on connect documents for the test of all pairs.
+#: Stars, and bins of one bucket, from this percentage on connect documents for the test of all pairs.
 NEAR_PERCENT = 50
 BLOCK = 256
 _ORDER = np.stack([np.random.default_rng(1000 + i).permutation(BINS) for i in range(BINS)])
@@ -62,7 +66,8 @@ def band_keys(bins: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (key, n, sa, sb, bands) per document; sa and sb are 128 bits of the whole set."""
+    """Rows (key, n, sa, sb, bands, bins) per document; sa and sb are 128 bits of the whole
+    set, ``bins`` the low bytes of its signature."""
     rows = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,27 +80,32 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                     a = int(s.sum(dtype=np.uint64)) ^ (len(s) << 40)
                     b = int(mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64))
                     pair = np.array([a & (2**64 - 1), b], dtype=np.uint64).view(np.int64)
-                    out.append((len(s), pair[0], pair[1], band_keys(signature(s))))
+                    bins = signature(s)
+                    out.append((len(s), pair[0], pair[1], band_keys(bins), bins.astype(np.uint8).tobytes()))
                 else:
-                    out.append((0, 0, 0, np.zeros(0, dtype=np.int64)))
-            n, sa, sb, bands = zip(*out) if out else ([], [], [], [])
+                    out.append((0, 0, 0, np.zeros(0, dtype=np.int64), b""))
+            n, sa, sb, bands, bins = zip(*out) if out else ([], [], [], [], [])
             yield pd.DataFrame({"key": batch["key"], "n": np.array(n, dtype=np.int64),
                                 "sa": np.array(sa, dtype=np.int64), "sb": np.array(sb, dtype=np.int64),
-                                "bands": list(bands)})
+                                "bands": list(bands), "bins": list(bins)})
 
-    return rows.mapInPandas(run, "key long, n long, sa long, sb long, bands array<bigint>")
+    return rows.mapInPandas(run, "key long, n long, sa long, sb long, bands array<bigint>, bins binary")
 
 
-def star_edges(buckets: DataFrame) -> DataFrame:
-    """Distinct rows (a, b): member and centre, from rows (bucket, doc)."""
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """Rows (bucket, doc, centre, members) of the buckets with two documents or more, from
+    rows (bucket, doc)."""
     centres = (
-        buckets.groupBy("bucket").agg(F.min("doc").alias("b"), F.max("doc").alias("_last"))
-        .filter("b < _last").select("bucket", "b")
-    )
-    return (
-        buckets.join(centres, "bucket").filter("doc <> b")
-        .select(F.col("doc").alias("a"), "b").distinct()
+        buckets.groupBy("bucket").agg(F.min("doc").alias("centre"), F.max("doc").alias("_last"),
+                                      F.count(F.lit(1)).alias("members"))
+        .filter("centre < _last").drop("_last")
     )
+    return buckets.join(centres, "bucket")
+
+
+def star_edges(shared: DataFrame) -> DataFrame:
+    """Distinct rows (a, b): member and centre, from rows of ``shared_buckets``."""
+    return shared.filter("doc <> centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def _grouped(rows: DataFrame, keys: list[str], last: list[Column],
@@ -237,6 +247,44 @@ def block_tasks(docs: DataFrame) -> DataFrame:
         "cluster", "pair", "side", "doc", "label")
 
 
+def _check_bins(group: pd.DataFrame) -> list[tuple]:
+    """Stars (a, b) over the documents of different labels that agree in enough bins."""
+    ids, label, side = (group[c].to_numpy() for c in ("doc", "label", "side"))
+    if (label == label[0]).all():
+        return []
+    bins = np.frombuffer(b"".join(group["bins"]), dtype=np.uint8).reshape(-1, BINS)
+    same = np.stack([np.count_nonzero(bins == row, axis=1) for row in bins])
+    near = (100 * same >= NEAR_PERCENT * BINS) & (label[:, None] != label[None, :])
+    if side.max() > 0:
+        near &= (side[:, None] != side[None, :])
+    root = np.arange(len(ids))
+    while True:
+        least = np.minimum(root, np.where(near, root[None, :], len(ids)).min(axis=1))
+        if (least == root).all():
+            break
+        root = least
+    return [(int(ids[i]), int(ids[j])) for i, j in enumerate(root) if ids[i] != ids[j]]
+
+
+def bin_edges(shared: DataFrame, labels: DataFrame, sizes: DataFrame, bins: DataFrame) -> DataFrame:
+    """Distinct rows (a, b) that connect all documents of one bucket, but different labels,
+    that agree in half of their bins.
+
+    ``shared`` is of ``shared_buckets``; a bucket of two is a star that was tested.  The
+    others are one task up to ``BLOCK`` members, larger ones meet in pairs of blocks.
+    """
+    rows = shared.filter("members > 2").join(labels, "doc", "left").select(
+        F.col("bucket").alias("cluster"), "doc", "members", F.coalesce("label", "doc").alias("label"))
+    rows = kept(rows, "crowded")
+    mixed = rows.groupBy("cluster").agg(F.min("label").alias("_a"), F.max("label").alias("_z"))
+    rows = rows.join(mixed.filter("_a < _z").select("cluster"), "cluster")
+    small = rows.filter(F.col("members") <= BLOCK).select(
+        "cluster", F.lit("").alias("pair"), F.lit(0).alias("side"), "doc", "label")
+    large = kept(rows.filter(F.col("members") > BLOCK).join(sizes, "doc").select("cluster", "doc", "label", "n"), "crowds")
+    tasks = small.unionByName(block_tasks(large)).join(bins.hint("merge"), "doc")
+    return _grouped(tasks, ["cluster", "pair"], [], _check_bins, "a long, b long").distinct()
+
+
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id, kept.
 
@@ -255,7 +303,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     member = full.groupBy("key").agg(F.min("rep").alias("rep"), F.max("rep").alias("rep2"))
     reps = full.filter("key = rep")
     buckets = reps.select(F.col("key").alias("doc"), F.explode("bands").alias("bucket"))
-    edges = kept(star_edges(buckets), "edges")
+    shared = kept(shared_buckets(buckets), "buckets")
+    edges = kept(star_edges(shared), "edges")
 
     wanted = edges.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = docs.select(docs[key].cast("long").alias("doc"), docs[text].alias("text"))
@@ -268,13 +317,14 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         member.filter("rep <> rep2").select(F.col("rep").alias("a"), F.col("rep2").alias("b")))
     comps = kept(graphs.components(links), "components")
 
-    clusters = graphs.components(near.select("a", "b"), "clusters")
-    sizes = reps.groupBy("key").agg(F.max("n").alias("n"))
+    sizes = reps.groupBy(F.col("key").alias("doc")).agg(F.max("n").alias("n"))
+    labels = comps.select(F.col("node").alias("doc"), F.col("component").alias("label"))
+    alike = bin_edges(shared, labels, sizes, reps.select(F.col("key").alias("doc"), "bins"))
+    clusters = graphs.components(near.select("a", "b").unionByName(alike), "clusters")
     tasks = block_tasks(
-        clusters.join(comps.withColumnRenamed("component", "label"), "node", "left")
-        .select(F.col("component").alias("cluster"), F.col("node").alias("doc"),
-                F.coalesce("label", "node").alias("label"))
-        .join(sizes.withColumnRenamed("key", "doc"), "doc"))
+        clusters.withColumnRenamed("node", "doc").join(labels, "doc", "left")
+        .select(F.col("component").alias("cluster"), "doc", F.coalesce("label", "doc").alias("label"))
+        .join(sizes, "doc"))
     found = _grouped(tasks.join(texts.hint("merge"), "doc"), ["cluster", "pair"], [], _check_blocks, "a long, b long")
     found = kept(found.distinct(), "links")
     if not found.isEmpty():

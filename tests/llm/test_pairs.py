@@ -64,6 +64,20 @@ def test_blocks_find_what_stars_miss(spark, rows, monkeypatch):
     assert got == {i: c for i, (_, c) in brute.near_duplicates(rows).items()}
 
 
+@pytest.mark.parametrize("block", [minhash.BLOCK, 16])
+def test_copies_of_a_passage_that_stands_in_longer_documents(spark, monkeypatch, block):
+    """In every bucket of the two copies the smallest id is a longer document, unlike both."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    passage = words(300, 11)
+    near = list(passage)
+    for k in range(30, 300, 55):
+        near[k] = f"other{k}"
+    rows = [(i, " ".join(words(170, 1000 + i) + passage + words(180, 5000 + i))) for i in range(3000)]
+    rows += [(9000, " ".join(passage)), (9001, " ".join(near))]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.link_documents(frame(spark, rows)).collect()}
+    assert got == {i: min(i, 9000) for i, _ in rows}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(5, "a b c d e f", "x", 1), (5, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2),
             (None, "a b c d e f", None, 3), (None, None, None, 4)]
