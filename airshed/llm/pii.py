@@ -2,7 +2,8 @@
 
 Found in a text and validated: dates (2024-01-31, 31.01.2024, 01/31/2024), IPv4 addresses
 (octets to 255), US social security numbers (assignable areas), North American phone
-numbers (area and exchange from 200) and payment card numbers (13 to 19 digits, Luhn).
+numbers (area and exchange from 200) and payment card numbers (13 to 19 digits, Luhn), also
+beside other groups of digits.
 
 A value is written as a pair (l, r) in Z_a x Z_b, a product that covers its format exactly.
 Eight rounds add a keyed SHA-256 of one half to the other, so values of a format are
@@ -115,7 +116,8 @@ def _phone(m: Column, key: str) -> Column:
     return put_digits(m, F.concat(before, (new["l"] + 200).cast("string"), (new["r"] + 2_000_000).cast("string")))
 
 
-def _card(m: Column, key: str) -> Column:
+def _whole_card(m: Column, key: str) -> Column:
+    """The pseudonym of a card number without anything around it, else null."""
     digits = _digits(m)
     body = F.length(digits) - 2
     left = F.floor(body / 2).cast("int")
@@ -129,6 +131,36 @@ def _card(m: Column, key: str) -> Column:
     return F.when(F.call_function("luhn_check", digits), put_digits(m, F.get(check, 0)))
 
 
+def _card(m: Column, key: str) -> Column:
+    """The pseudonym of a run of digits that is a card number, or whose digit groups hold
+    one: of the runs of whole groups that pass, the longest, and of those the first."""
+    groups = F.split(m, "[ -]")
+
+    def start(i: Column) -> Column:
+        """How many characters stand before group ``i``."""
+        return F.aggregate(F.slice(groups, 1, i), F.lit(0), lambda n, g: n + F.length(g) + 1)
+
+    def runs(i: Column) -> Column:
+        return F.transform(F.sequence(i, F.size(groups) - 1), lambda j: F.struct(
+            start(i).alias("at"), (start(j + 1) - start(i) - 1).alias("n")))
+
+    def part(r: Column) -> Column:
+        return F.substr(m, r["at"] + 1, r["n"])
+
+    def good(r: Column) -> Column:
+        digits = _digits(part(r))
+        return F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+
+    every = F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), runs))
+    found = F.filter(every, good)
+    # Sorted by digits, longest first, then by place.
+    best = F.get(F.array_sort(F.transform(found, lambda r: F.struct(
+        (-F.length(_digits(part(r)))).alias("d"), r["at"].alias("at"), r["n"].alias("n")))), 0)
+    inner = F.concat(F.substr(m, F.lit(1), best["at"]), _whole_card(part(best), key),
+                     F.substr(m, best["at"] + best["n"] + 1, F.length(m)))
+    return F.coalesce(_whole_card(m, key), F.when(F.size(groups) > 1, inner))
+
+
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of a found piece, null where validation fails."""
     def shaped(name: str) -> Column:

@@ -284,6 +284,17 @@ def test_formats_and_links_are_kept(spark):
     assert pii.pseudonymise(df.limit(0), "k").count() == 0
 
 
+def test_cards_beside_other_groups_of_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [card, card + " 123", "12 " + card, "7 " + card + " 9", "4111-1111-1111-1111 12", "4111 1111 1111 1112 123",
+             card + " 99 5500 0000 0000 0004"]
+    got = [r["text"] for r in pii.pseudonymise(spark.createDataFrame([(t,) for t in texts], "text string"), "k").collect()]
+    new = got[0]
+    assert new != card and got[1:4] == [new + " 123", "12 " + new, "7 " + new + " 9"]
+    assert got[4] == new.replace(" ", "-") + " 12" and got[5] == texts[5]
+    assert card not in got[6] and "5500 0000 0000 0004" not in got[6]
+
+
 # --- classifiers --------------------------------------------------------------------------
 
 FOLDER = "/root/testdata/sf0.1"
