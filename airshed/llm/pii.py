@@ -30,6 +30,8 @@ SHAPES = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 PATTERN = "|".join(SHAPES.values())
+#: Phone numbers written in full whose area code starts with 0 or 1 (never assigned).
+ANY_AREA = r"(?<![0-9])\+1[ .-]?\([01][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
 DATES = {"iso": "yyyy-MM-dd", "dotted": "dd.MM.yyyy", "slashed": "MM/dd/yyyy"}
 #: 271 * 271 days from here on (to 2101-01-26) are the dates that get pseudonyms.
 FIRST_DAY, DAY_BASE = "1900-01-01", 271
@@ -111,9 +113,11 @@ def _phone(m: Column, key: str) -> Column:
     digits = _digits(m)
     own = F.substring(digits, -10, 10)
     area, rest = F.substring(own, 1, 3).cast("int"), F.substring(own, 4, 7).cast("int")
-    new = feistel(area - 200, F.lit(800), rest - 2_000_000, F.lit(8_000_000), "phone", key)
+    # Areas below 200 are permuted among themselves.
+    low = F.when(area < 200, 0).otherwise(200)
+    new = feistel(area - low, F.when(area < 200, 200).otherwise(800), rest - 2_000_000, F.lit(8_000_000), "phone", key)
     before = F.substr(digits, F.lit(1), F.length(digits) - 10)
-    return put_digits(m, F.concat(before, (new["l"] + 200).cast("string"), (new["r"] + 2_000_000).cast("string")))
+    return put_digits(m, F.concat(before, _padded(new["l"] + low, 3), (new["r"] + 2_000_000).cast("string")))
 
 
 def _whole_card(m: Column, key: str) -> Column:
@@ -172,24 +176,26 @@ def pseudonym(m: Column, key: str) -> Column:
         .when(shaped("slashed"), _date(m, "slashed", key))
         .when(shaped("ip"), _ip(m, key))
         .when(shaped("ssn"), _ssn(m, key))
-        .when(shaped("phone"), _phone(m, key))
+        .when(shaped("phone") | m.rlike(f"^(?:{ANY_AREA})$"), _phone(m, key))
         .otherwise(_card(m, key))
     )
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", any_area: bool = False) -> DataFrame:
     """The input rows and columns, with ``text`` rewritten, and two more columns:
     ``_numbers`` and ``_dates``, how many of each were replaced.
 
+    ``any_area`` takes phone numbers like +1 (017) 555-7713 too, whose area is below 200.
     ``key`` is the secret; the same key gives the same pseudonyms in every run.  A null
     text stays null, a text without validated values stays as it is.  Other columns,
     whatever their names, and repeated rows pass through.  An empty table gives no rows.
     """
     own = F.col(f"`{text}`")
+    pattern = f"{PATTERN}|{ANY_AREA}" if any_area else PATTERN
     none = F.array().cast("array<string>")
-    df = docs.withColumn("_found", F.when(own.rlike("[0-9]"), F.regexp_extract_all(own, F.lit(PATTERN), F.lit(0))).otherwise(none))
+    df = docs.withColumn("_found", F.when(own.rlike("[0-9]"), F.regexp_extract_all(own, F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
-    placed = F.zip_with(F.split(own, PATTERN, -1), F.concat(F.zip_with("_new", "_found", lambda n, f: F.coalesce(n, f)), F.array(F.lit(""))),
+    placed = F.zip_with(F.split(own, pattern, -1), F.concat(F.zip_with("_new", "_found", lambda n, f: F.coalesce(n, f)), F.array(F.lit(""))),
                         lambda a, b: F.concat(a, b))
     dates = "|".join(SHAPES[s] for s in DATES)
     done = F.zip_with("_new", "_found", lambda n, f: F.when(n.isNotNull(), f))

@@ -55,7 +55,7 @@ def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     # A real run takes its key from a secret store.
-    docs = pii.pseudonymise(table(spark, folder, "documents"), key="pseudonyms-of-the-registered-query")
+    docs = pii.pseudonymise(table(spark, folder, "documents"), key="pseudonyms-of-the-registered-query", any_area=True)
     return docs.select("doc_id", F.col("_numbers").alias("n_numbers"), F.col("_dates").alias("n_dates"), "text")
 
 

@@ -295,6 +295,18 @@ def test_cards_beside_other_groups_of_digits(spark):
     assert card not in got[6] and "5500 0000 0000 0004" not in got[6]
 
 
+def test_phones_of_any_area(spark):
+    texts = ["a +1 (017) 555-7713 b", "+1 (132) 555-1352", "+1 (132) 555-1352.", "+1 (968) 555-9369", "(017) 555-7713"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r["text"] for r in pii.pseudonymise(df, "k", any_area=True).collect()]
+    plain = [r["text"] for r in pii.pseudonymise(df, "k").collect()]
+    left, right = plain_feistel(17, 200, 5557713 - 2_000_000, 8_000_000, "phone", "k")
+    new = str(right + 2_000_000)
+    assert got[0] == f"a +1 ({left:03}) {new[:3]}-{new[3:]} b"
+    assert got[1] != texts[1] and got[2] == got[1] + "."
+    assert plain[:3] == texts[:3] and got[3:] == plain[3:] and got[3] != texts[3] and got[4] == texts[4]
+
+
 # --- classifiers --------------------------------------------------------------------------
 
 FOLDER = "/root/testdata/sf0.1"
