@@ -50,7 +50,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Callable[[str]
 def fit_once(rows: DataFrame, fit: Callable[[list[tuple]], bytes], max_bytes: int) -> bytes:
     """``fit`` over the sample in one task; what comes back is one small row.
 
-    The task sees its rows in order of the key and stops after ``max_bytes`` of text.
+    The task sees its rows in order of a hash of the key and stops after ``max_bytes`` of
+    text, so the bound cuts the same rows in every run.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got, size = {}, 0
@@ -61,7 +62,7 @@ def fit_once(rows: DataFrame, fit: Callable[[list[tuple]], bytes], max_bytes: in
                     size += len(t)
         yield pd.DataFrame({"model": [fit([(k, t, y, w) for (k, t), (y, w) in sorted(got.items())])]})
 
-    one = rows.repartition(1).mapInPandas(run, "model binary")
+    one = rows.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", "text").mapInPandas(run, "model binary")
     found = one.first()
     return bytes(found["model"]) if found else fit([])
 

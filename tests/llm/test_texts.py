@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from airshed.llm import fingerprints, lines, mixing, packing, pii, quality, toxicity
+from airshed.llm import fingerprints, labelled, lines, mixing, packing, pii, quality, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -330,6 +330,13 @@ def test_held_out_accuracy(spark, kind, label, least):
     assert (said == y).mean() > 0.97
 
 
+def test_the_byte_bound_cuts_the_same_rows_in_any_order(spark):
+    rows = [(i, f"text {i:03}", i % 2, 1.0) for i in range(50)]
+    got = [labelled.fit_once(spark.createDataFrame(r, "key long, text string, label int, weight double").coalesce(1),
+                             lambda kept: repr([k[0] for k in kept]).encode(), 80) for r in (rows, rows[::-1])]
+    assert got[0] == got[1] and len(eval(got[0])) == 10
+
+
 @pytest.mark.parametrize("kind,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifiers_on_odd_rows(spark, kind, label):
     rows = [(i, ("loser idiot " if i % 2 else "plain words ") * 20, "s") for i in range(60)]
