@@ -6,7 +6,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airshed.llm import fingerprints, lines, minhash, mixing, packing, pii, quality, repeats, toxicity, vectors
+from airshed.llm import (
+    divergence, fingerprints, lines, minhash, mixing, neighbours, packing, pii, quality, ranking, repeats, toxicity,
+    vectors)
 from airshed.llm.sql import ORACLES
 from airshed.session import ship_package
 
@@ -63,6 +65,19 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.link_documents(table(spark, folder, "documents"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    index = ranking.build(table(spark, folder, "documents"))
+    return ranking.search(index, table(spark, folder, "benchmark"))
+
+
+def op13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 def _shipped(query):
     """The query, with the package sent to the executors first."""
     @wraps(query)
@@ -75,6 +90,6 @@ def _shipped(query):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_fingerprints, op2_quality, op3_toxicity, op4_mixing, op5_vectors, op6_lines, op7_packing, op8_repeats,
-    op9_pii, op10_minhash)}
+    op9_pii, op10_minhash, op11_divergence, op12_ranking, op13_neighbours)}
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,5 +1,6 @@
 """The operators' queries in DuckDB SQL, where SQL can state them."""
 
+from airshed.llm.divergence import LEAST_DOCUMENTS, TOP
 from airshed.llm.lines import MIN_SITES
 from airshed.llm.mixing import BLOCK, SHARD_DOCUMENTS, SHARD_WORDS
 
@@ -103,4 +104,49 @@ comp as (select a as doc_id, min(b) as component_id from reach group by 1)
 select doc_id, n::bigint as n_shingles, component_id, doc_id = component_id as kept from n join comp using (doc_id)
 """
 
-ORACLES = {"op4_mixing": OP4, "op5_vectors": OP5, "op6_lines": OP6, "op8_repeats": OP8, "op10_minhash": OP10}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BOTH = "(a.p - b.p) * (a.p - b.p) // (a.p + b.p)"
+
+OP11 = f"""
+with d as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from documents),
+t as (select id, lang, source, unnest(words) as w from d),
+k as (select lang, w from t group by 1, 2 having count(distinct id) >= {LEAST_DOCUMENTS}),
+g as (select distinct lang, source from d),
+c as (select lang, source, w, count(*) as n from t group by 1, 2, 3),
+f as (select g.lang, g.source, k.w, coalesce(n, 0) as n from g join k using (lang) left join c using (lang, source, w)),
+p as (select *, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over o + 2 * count(*) over o)::hugeint as p from f
+  window o as (partition by lang, source)),
+m as (select lang, w, sum(n) as n from f group by 1, 2),
+q as (select *, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over o + 2 * count(*) over o)::hugeint as p from m
+  window o as (partition by lang)),
+s as (select a.lang, a.source, b.source as item, sum({_BOTH}) as value
+  from p a join p b on a.lang = b.lang and a.w = b.w and a.source <> b.source group by 1, 2, 3),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (select a.lang, a.source, 'term' as part, a.w as item, {_BOTH} as value
+  from p a join q b on a.lang = b.lang and a.w = b.w where a.n > 0 and a.p > b.p),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value::bigint as value, rank::int as rank from r where part = 'pair' or rank <= {TOP}
+"""
+
+OP12 = f"""
+with d as (select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents),
+n as (select doc_id, len(words)::bigint as n from d where len(words) > 0),
+total as (select count(*)::bigint as docs, sum(n)::bigint as tokens from n),
+q as (select distinct item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as w
+  from benchmark),
+tf as (select doc_id, w, count(*)::bigint as tf from (select doc_id, unnest(words) as w from d) semi join q using (w) group by 1, 2),
+weight as (select w, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as weight
+  from tf cross join total group by 1),
+x as (select item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // tokens))))::bigint as score
+  from q join weight using (w) join tf using (w) join n using (doc_id) cross join total group by 1, 2),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from x where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 10
+"""
+
+ORACLES = {"op4_mixing": OP4, "op5_vectors": OP5, "op6_lines": OP6, "op8_repeats": OP8, "op10_minhash": OP10,
+           "op11_divergence": OP11, "op12_ranking": OP12}
