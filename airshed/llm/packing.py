@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,10 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(rf"[{LATIN}0-9 \n!-&(-/:-@\[-`{{-~]*")
 PRE_TOKEN = re.compile(rf" ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
+#: A space and letters: as many as ``LINE`` new words of this kind are encoded in one text,
+#: in which every one is a pre-token.
+SPACED = re.compile(rf" [{LATIN}]+")
+LINE = 256
 REMEMBERED = 1_200_000
 #: Characters encoded together.
 TOGETHER = 2_000_000
@@ -51,8 +55,26 @@ class Limits:
     loss: int = 1024
 
 
+class _Numbers(dict):
+    """Numbers of words in order of their first use; ``new`` has those without ids yet, whose
+    numbers follow ``known``."""
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.known = 0
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = self.known + len(self.new)
+        self.new.append(word)
+        return value
+
+
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit bytes, with a bounded memory of words."""
+    """Token ids as little-endian unsigned 32-bit bytes, with a bounded memory of words.
+
+    A word of a text costs one look-up of its number; ids are then gathered for many texts
+    together from one array that has the ids of all remembered words.
+    """
 
     def __init__(self, path: str | None):
         # Spark runs a worker per core; threads of the library would only compete.
@@ -67,11 +89,13 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Other kinds of tokenizers get whole texts.
         self.by_parts = "ByteLevel" in repr(self.tokenizer.pre_tokenizer)
-        self.known: dict[str, bytes] = {}
+        self.forget()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
+    def forget(self) -> None:
+        self.numbers = _Numbers()
+        self.ends = np.zeros(1, dtype=np.int64)  # of each word's ids; the first entry is 0
+        self.ids = np.zeros(0, dtype="<u4")
+        self.used = 0
 
     def _parts(self, text: str) -> list[str]:
         if not self.by_parts or any(s in text for s in self.special):
@@ -82,17 +106,56 @@ class Encoder:
         parts[1:] = [f" {p}" for p in parts[1:]]
         return parts
 
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and the number of ids of each."""
+        spaced = [bool(self.by_parts and SPACED.fullmatch(w)) for w in words]
+        many = [w for w, s in zip(words, spaced) if s]
+        lines = ["".join(many[i:i + LINE]) for i in range(0, len(many), LINE)]
+        alone = [w for w, s in zip(words, spaced) if not s]
+        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)  # the fast form names no words
+        found += self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable(x.ids for x in found), "<u4")
+        size = np.zeros(len(words), dtype=np.int64)
+        spaced = np.array(spaced)
+        size[spaced] = np.concatenate(
+            [np.bincount(x.word_ids) for x in found[:len(lines)]] or [np.zeros(0, dtype=np.int64)])
+        size[~spaced] = [len(x.ids) for x in found[len(lines):]]
+        # The ids stand in order of lines, then of words alone.
+        order = np.append(np.flatnonzero(spaced), np.flatnonzero(~spaced))
+        start = np.empty(len(words), dtype=np.int64)
+        start[order] = np.cumsum(size[order]) - size[order]
+        end = np.cumsum(size)
+        return flat[np.repeat(start - end + size, size) + np.arange(len(flat))], size
+
+    def _learn(self) -> None:
+        """Ids of the words that are new; the arrays grow by half, so words are copied rarely."""
+        numbers, new = self.numbers, self.numbers.new
+        if not new:
+            return
+        ids, size = self._encode(new)
+        known, used = numbers.known + len(new), self.used + len(ids)
+        if known >= len(self.ends):
+            self.ends = np.append(self.ends, np.zeros(known + known // 2, dtype=np.int64))
+        if used > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(used + used // 2, dtype="<u4"))
+        self.ends[numbers.known + 1:known + 1] = self.used + np.cumsum(size)
+        self.ids[self.used:used] = ids
+        for word in [w for w in new if len(w) > 100]:
+            del numbers[word]  # its number is not used again
+        numbers.known, numbers.new, self.used = known, [], used
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.numbers.known > REMEMBERED or self.used > 8 * REMEMBERED:
+            self.forget()
         parts = [self._parts(t) for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list(set().union(*parts) - known.keys())
-        known.update(zip(new, self._encode(new)))
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for word in [w for w in new if len(w) > 100]:
-            del known[word]
-        return out
+        count = np.fromiter(map(len, parts), np.int64, len(parts))
+        word = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, int(count.sum()))
+        self._learn()
+        start, size = self.ends[word], self.ends[word + 1] - self.ends[word]
+        end = np.cumsum(size)
+        ids = self.ids[np.repeat(start - end + size, size) + np.arange(int(size.sum()))]
+        cut = np.append(0, end)[np.append(0, np.cumsum(count))]
+        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:])]
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
