@@ -2,14 +2,16 @@
 
 Fitting takes a bounded sample of labelled documents in one task:
 
-1. Pieces of words that are frequent in toxic documents and rare in ordinary ones are
-   found from document counts of character 5-grams; near copies count about once.
-2. A toxic dictionary is trained on those pieces, an ordinary one on ordinary text.
-   The toxic side continues with the ordinary dictionary, so both sides compress
-   ordinary wording alike and lengths differ where toxic wording is met.
-3. On documents not used for the dictionaries, the smallest saving that few ordinary
-   windows reach becomes the window threshold; a logistic curve over the savings of a
-   document gives its score.
+1. An ordinary dictionary is trained on ordinary text, a toxic one on toxic text.  Most of a
+   toxic document is ordinary wording, so what the toxic dictionary holds of it is cut out:
+   only runs of bytes stay whose 8-byte pieces stand in significantly more toxic than
+   ordinary documents.  The toxic side continues with the ordinary dictionary, so both sides
+   compress ordinary wording alike and lengths differ where toxic wording is met.
+2. Thresholds are calibrated on documents that the dictionaries have not seen: each half of
+   the sample is measured with dictionaries trained on the other half.  The smallest saving
+   that few ordinary windows reach becomes the window threshold; a logistic curve over the
+   savings of a document gives its score.
+3. The dictionaries that score are trained on the whole sample.
 
 Scoring reads whole texts in windows of 64 bytes (with 8 more of the next window) and
 keeps no state between documents.
@@ -20,7 +22,6 @@ from __future__ import annotations
 import math
 import pickle
 import random
-from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -32,12 +33,13 @@ from airshed.llm import labelled
 SAMPLE = 4000
 SAMPLE_BYTES = 48_000_000
 WINDOW, OVERLAP = 64, 8
-GRAM = 5
-#: A piece is toxic wording if it stands in this part of toxic documents ...
-LEAST_SHARE = 0.02
-#: ... and this many (natural logarithm) times as often as in ordinary ones.
-LEAST_LOG_RATIO = 2.5
-TOXIC_BYTES, ORDINARY_BYTES = 1024, 32_768
+#: A piece of the toxic dictionary stays if it is this significant (log-likelihood ratio of
+#: its document counts) and this many (natural logarithm) times as frequent in toxic documents.
+LEAST_LIKELIHOOD, LEAST_LOG_RATIO = 10.0, 1.5
+PIECE = 8
+TOXIC_BYTES, ORDINARY_BYTES = 110_000, 32_768
+#: Bytes of text per training sample, and samples of an ordinary document.
+TRAINED, SAMPLES = 256, 8
 #: Part of ordinary windows that may reach the window threshold.
 WINDOW_ERROR = 0.003
 LEVEL = 6
@@ -54,97 +56,120 @@ def _compressors(toxic: bytes, ordinary: bytes):
     return one(toxic + ordinary), one(ordinary)
 
 
+def _plain(text: str) -> bytes:
+    """Lower-cased words with single spaces between them and around."""
+    return b" " + b" ".join(text.lower().encode("utf-8", "replace").split()) + b" "
+
+
 def savings(text: str, toxic: Callable, ordinary: Callable) -> np.ndarray:
     """Bytes that the toxic dictionary saves on each window of the text."""
-    data = text.lower().encode("utf-8", "replace")
+    data = _plain(text)
     span = WINDOW + OVERLAP
     return np.array([len(ordinary(w)) - len(toxic(w))
                      for w in (data[i:i + span] for i in range(0, len(data), WINDOW))], dtype=np.int64)
 
 
 def features(saved: np.ndarray, threshold: int) -> list[float]:
-    if not len(saved):
-        return [0.0, 0.0, 0.0, 0.0]
-    hits = int((saved >= threshold).sum())
-    rate = hits / (len(saved) + 4.0)
-    strong = int((saved >= threshold + 1).sum())
-    return [math.log1p(hits), math.sqrt(rate), math.sqrt(strong / (len(saved) + 4.0)),
-            float(min(max(int(saved.max()), 0), 8))]
-
-
-def _grams(word: str) -> list[str]:
-    word = f" {word} "
-    return [word[i:i + GRAM] for i in range(max(1, len(word) - GRAM + 1))]
-
-
-def toxic_pieces(rows: list[tuple]) -> Counter:
-    """Runs of characters covered by toxic 5-grams, with their document counts."""
-    counts = {0: Counter(), 1: Counter()}
-    total = Counter(y for _, _, y, _ in rows)
-    for _, text, y, _ in rows:
-        counts[y].update({g for w in set(text.lower().split()) for g in _grams(w)})
-
-    def ratio(g: str) -> float:
-        return math.log((counts[1][g] + 0.5) / (total[1] + 1) * (total[0] + 1) / (counts[0][g] + 0.5))
-
-    least = max(3, LEAST_SHARE * total[1])
-    chosen = {g for g, n in counts[1].items() if n >= least and ratio(g) >= LEAST_LOG_RATIO}
-    pieces: Counter = Counter()
-    for _, text, y, _ in rows:
-        for word in set(text.lower().split()) if y else ():
-            hits, i = [g in chosen for g in _grams(word)], 0
-            while i < len(hits):
-                j = i
-                while j < len(hits) and hits[j]:
-                    j += 1
-                if j > i:
-                    pieces[f" {word} "[i:j - 1 + GRAM]] += 1
-                i = j + 1
-    return pieces
-
-
-def _train(size: int, samples: list[bytes]) -> bytes:
+    """The number of windows at the threshold, and the savings of all."""
+    return [math.log1p(int((saved >= threshold).sum())), math.sqrt(np.clip(saved, 0, 8).sum() / (len(saved) + 4.0))]
+
+
+def _pieces(data: bytes) -> np.ndarray:
+    """All runs of 8 bytes, as numbers."""
+    if len(data) < PIECE:
+        return np.zeros(0, dtype=np.uint64)
+    whole = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, dtype=np.uint8), PIECE)
+    return np.ascontiguousarray(whole).view(np.uint64).ravel()
+
+
+def _likelihood(a: np.ndarray, all_a: int, b: np.ndarray, all_b: int) -> np.ndarray:
+    """Log-likelihood ratio of two shares a / all_a and b / all_b against one common share."""
+    p = (a + b) / (all_a + all_b)
+
+    def part(n, expected):
+        return np.where(n > 0, n * np.log(np.maximum(n, 1) / np.maximum(expected, 1e-12)), 0.0)
+
+    return (part(a, all_a * p) + part(all_a - a, all_a * (1 - p))
+            + part(b, all_b * p) + part(all_b - b, all_b * (1 - p)))
+
+
+def toxic_runs(dictionary: bytes, toxic: list[bytes], ordinary: list[bytes]) -> bytes:
+    """What of a dictionary marks toxic text, the most significant runs last."""
+    at = _pieces(dictionary)
+    have = np.unique(at)
+    counts = []
+    for texts in (toxic, ordinary):
+        n = np.zeros(len(have))
+        for data in texts:
+            found = np.unique(_pieces(data))
+            place = np.minimum(np.searchsorted(have, found), max(len(have) - 1, 0))
+            n[place[have[place] == found] if len(have) else place[:0]] += 1
+        counts.append(n)
+    a, b = counts
+    ratio = np.log((a + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (b + 0.5))
+    weight = _likelihood(a, len(toxic), b, len(ordinary))
+    good = (ratio >= LEAST_LOG_RATIO) & (weight >= LEAST_LIKELIHOOD)
+    place = np.searchsorted(have, at)
+    value = np.where(good[place], weight[place], 0.0) if len(at) else np.zeros(0)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], value > 0, [0]]).astype(int)))
+    runs: dict[bytes, float] = {}
+    for i, j in zip(edges[::2], edges[1::2]):
+        run = dictionary[i:j - 1 + PIECE]
+        runs[run] = max(runs.get(run, 0.0), float(value[i:j].max()))
+    return b"".join(sorted(runs, key=lambda r: (runs[r], r)))
+
+
+def _train(size: int, samples: list[bytes], **how) -> bytes:
     """A trained dictionary; where samples are too few for training, their own bytes."""
     import zstandard as zs
 
     try:
-        return zs.train_dictionary(size, samples).as_bytes()
+        return zs.train_dictionary(size, samples, **how).as_bytes()
     except zs.ZstdError:
         return b"".join(samples)[-size:]
 
 
+def dictionaries(rows: list[tuple]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary of (key, text, label, weight) rows."""
+    draw = random.Random(11)
+    texts: dict[int, list[bytes]] = {0: [], 1: []}
+    for _, text, y, _ in rows:
+        texts[y].append(_plain(text))
+    plain, toxic = [], []
+    for data in texts[0]:
+        starts = range(0, len(data), TRAINED)
+        plain += [data[i:i + TRAINED] for i in draw.sample(starts, min(SAMPLES, len(starts)))]
+    for data in texts[1]:
+        toxic += [data[i:i + TRAINED] for i in range(0, len(data), TRAINED)]
+    # Short segments: about a word each.
+    raw = _train(TOXIC_BYTES, toxic, k=16, d=8) if toxic else b""
+    return toxic_runs(raw, texts[1], texts[0]), _train(ORDINARY_BYTES, plain) if plain else b""
+
+
 def fit(rows: list[tuple]) -> bytes:
     """The model as bytes, from (key, text, label, weight) rows."""
     draw = random.Random(11)
     rows = list(rows)
     draw.shuffle(rows)
-    cut = max(1, len(rows) * 3 // 5)
-    train, check = labelled.copies_left_out(rows[:cut]), labelled.copies_left_out(rows[cut:])
-    check = check or train
-    pieces = toxic_pieces(train)
-    bits = [p.encode() for p, n in sorted(pieces.items()) for _ in range(n)]
-    draw.shuffle(bits)
-    bits = [b"".join(bits[i:i + 4]) for i in range(0, len(bits), 4)]
-    plain = []
-    for _, text, y, _ in train:
-        data = text.lower().encode("utf-8", "replace") if not y else b""
-        starts = list(range(0, len(data), 256))
-        plain += [data[i:i + 256] for i in draw.sample(starts, min(8, len(starts)))]
-    dictionaries = (_train(TOXIC_BYTES, bits) if bits else b"", _train(ORDINARY_BYTES, plain) if plain else b"")
-    toxic, ordinary = _compressors(*dictionaries)
-    saved = [savings(t, toxic, ordinary) for _, t, _, _ in check]
-    y = np.array([r[2] for r in check], dtype=float)
-    weight = np.array([r[3] for r in check])
+    rows = labelled.copies_left_out(rows)
+    halves = [rows[::2], rows[1::2]]
+    saved, order = [], []
+    for learned, check in (halves, halves[::-1]):
+        sides = _compressors(*dictionaries(learned))
+        saved += [savings(t, *sides) for _, t, _, _ in check]
+        order += check
+    y = np.array([r[2] for r in order], dtype=float)
+    weight = np.array([r[3] for r in order])
     clean = np.concatenate([s for s, v in zip(saved, y) if not v] or [np.zeros(1, dtype=np.int64)])
     threshold = next(t for t in range(1, 64) if (clean >= t).mean() <= WINDOW_ERROR or t == 63)
     x = np.array([features(s, threshold) for s in saved])
-    beta = labelled.logistic(x, y, weight / weight.mean()) if len(x) else np.array([0.0] * 4 + [-3.0])
-    return pickle.dumps((dictionaries, threshold, beta))
+    beta = labelled.logistic(x, y, weight / weight.mean()) if len(x) else np.array([0.0, 0.0, -3.0])
+    return pickle.dumps((dictionaries(rows), threshold, beta))
 
 
 def scorer(model: bytes) -> Callable[[str], float]:
-    dictionaries, threshold, beta = pickle.loads(model)
-    toxic, ordinary = _compressors(*dictionaries)
+    content, threshold, beta = pickle.loads(model)
+    toxic, ordinary = _compressors(*content)
 
     def score(text: str) -> float:
         x = features(savings(text, toxic, ordinary), threshold)
