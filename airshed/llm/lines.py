@@ -17,12 +17,17 @@ from airshed.session import kept
 
 #: Sites from which on a line is boilerplate.
 MIN_SITES = 10
-#: Registers are 2 ** LG_K; an estimate is off by more than BAND (five standard errors)
-#: about once in two million lines.
+#: Registers are 2 ** LG_K.  BAND is five standard errors of a full sketch.  Sketches of few
+#: sites are no full ones: up to 2 ** LG_K / 32 = 128 sites they list 26 hash bits of each, so
+#: a line of MIN_SITES sites falls out of the band only if two of ten hashes agree in two ways
+#: at once; with MIN_SITES beyond 128 the band is what it says.
 LG_K = 12
 BAND = 5 * 1.04 / 2 ** (LG_K / 2)
 
 
+ADDED = ("_lines", "_blank_before", "_removed")
+
+
 def split_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -87,26 +92,30 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str =
     first document is the smallest key.  A null text stays null with no lines, a null
     key keeps its lines (it can be in no document's place, but counts as an
     occurrence), a null site is a site of its own.  Rows with one key are one document:
-    what leaves one leaves all.  An empty table gives no rows.
+    what leaves one leaves all.  Other columns pass through, but for those named like the
+    three new ones, which are replaced.  An empty table gives no rows.
     """
     rows = occurrences(docs, key, text, site)
     lines = kept(boilerplate(rows, line_sketches(rows), min_sites), "boilerplate")
     hits = (
         rows.join(lines, "line").filter(F.col("doc") != F.col("first_doc"))
-        .groupBy("doc").agg(F.collect_set("line").alias("_boilerplate"))
+        .groupBy("doc").agg(F.collect_set("line").alias("gone"))
     )
-    joined = docs.join(hits, docs[key] == hits["doc"], "left")
-    parts = split_lines(F.col(text))
-    gone = F.coalesce(F.col("_boilerplate"), F.array().cast(hits.schema["_boilerplate"].dataType))
+    # Positions, since the documents may have columns named like ours.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own = F.col(names[docs.columns.index(text)])
+    joined = docs.toDF(*names).join(hits, F.col(names[docs.columns.index(key)]) == F.col("doc"), "left")
+    parts = split_lines(own)
+    gone = F.coalesce(F.col("gone"), F.array().cast(hits.schema["gone"].dataType))
     left = F.filter(parts, lambda line: _blank(line) | ~F.array_contains(gone, _key(line)))
     changed = F.size(gone) > 0
+    kept_columns = [(n, c) for n, c in zip(names, docs.columns) if c not in ADDED]
     return joined.select(
-        *[F.when(changed, F.array_join(left, "\n")).otherwise(F.col(c)).alias(c)
-          if c == text else docs[c] for c in docs.columns],
-        F.coalesce(F.size(parts), F.lit(0)).alias("_lines"),
-        F.coalesce(F.forall(parts, _blank), F.lit(True)).alias("_blank_before"),
-        F.when(changed, F.size(parts) - F.size(left)).otherwise(0).alias("_removed"),
-    )
+        *[F.when(changed, F.array_join(left, "\n")).otherwise(own) if c == text else F.col(n) for n, c in kept_columns],
+        F.coalesce(F.size(parts), F.lit(0)),
+        F.coalesce(F.forall(parts, _blank), F.lit(True)),
+        F.when(changed, F.size(parts) - F.size(left)).otherwise(0),
+    ).toDF(*[c for _, c in kept_columns], *ADDED)
 
 
 def all_blank(text: Column) -> Column:

@@ -200,12 +200,12 @@ def apply(docs: DataFrame, seed: int = 17, key: str = "doc_id", text: str = "tex
     goals = plan(docs, key, text, source, seed=seed, **how).select(
         F.col("mark").alias("_mark"), "first", "shard_blocks", "passes", "rest", "shift", "size", "taken")
     goals = goals.withColumn("_n", F.row_number().over(by_mark.orderBy("first")))
-    rows = docs.withColumn("_mark", row_mark(docs[key], docs[text]))
-    rows = rows.withColumn("_n", F.row_number().over(by_mark.orderBy(F.lit(1)))).alias("d")
-    # Positions, since the documents may have columns named like the plan's.
+    # Positions, since the documents may have columns named like the plan's or ours.
     names = [f"_c{i}" for i in range(len(docs.columns))]
     at = names[docs.columns.index(text)]
-    rows = rows.toDF(*names, "_mark", "_n").join(goals, ["_mark", "_n"])
+    rows = docs.toDF(*names)
+    rows = rows.withColumn("_mark", row_mark(F.col(names[docs.columns.index(key)]), F.col(at)))
+    rows = rows.withColumn("_n", F.row_number().over(by_mark.orderBy(F.lit(1)))).join(goals, ["_mark", "_n"])
     part = F.when(F.col("taken") > F.col("passes") * F.col("size"), selected_words(F.col(at), how.get("block", BLOCK)))
     rows = rows.withColumn("_part", part)
     whole = F.array_repeat(F.struct(F.col(at).alias("t"), F.lit(False).alias("cut")), F.col("passes").cast("int"))
@@ -215,10 +215,10 @@ def apply(docs: DataFrame, seed: int = 17, key: str = "doc_id", text: str = "tex
 
     def column(name: str, c: str) -> Column:
         if c == text:
-            return F.col("_x.t").alias(c)
+            return F.col("_x.t")
         if c == length:
             kind = docs.schema[c].dataType
-            return F.when(F.col("_x.cut"), F.char_length("_x.t").cast(kind)).otherwise(F.col(name)).alias(c)
-        return F.col(name).alias(c)
+            return F.when(F.col("_x.cut"), F.char_length("_x.t").cast(kind)).otherwise(F.col(name))
+        return F.col(name)
 
-    return rows.select(*[column(n, c) for n, c in zip(names, docs.columns)])
+    return rows.select(*[column(n, c) for n, c in zip(names, docs.columns)]).toDF(*docs.columns)
