@@ -265,9 +265,12 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, key: str = "item_i
     weight = F.floor(1000 * F.log((2 * F.lit(documents) + 2) / (2 * F.col("df") + 1)))
     weights = df.select("term", weight.cast("long").alias("weight"))
     chunk = F.pmod(F.xxhash64("item"), F.lit(chunks))
-    # A chunk bounds its queries, hence the list of those that hold a term.
+    # A chunk bounds its queries, hence the list of those that hold a term.  Written first, so
+    # that the join with the index knows its size and the index itself is not shuffled by term
+    # where the terms are few.
     wanted = (asked.groupBy("term", chunk.alias("chunk")).agg(F.collect_list("item").alias("items"))
               .join(weights, "term"))
+    wanted = kept(wanted, "query-lists")
     none = F.lit(None)
     lists = index.join(wanted, "term").select(
         "block", "chunk", "weight", "items", "docs", "counts", none.cast("array<bigint>").alias("ids"),
