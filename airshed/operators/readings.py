@@ -162,10 +162,29 @@ def station_days(
     if mode != "verified_first":
         raise ValueError(f"unknown mode {mode!r}")
 
+    return pivot_levels(_by_level(readings, levels), slugs)
+
+
+def pivot_levels(by_level: DataFrame, slugs: dict[str, str] | None = None) -> DataFrame:
+    """Statistics by station, pollutant, day and level to the wide table, best level first."""
     def pick(is_pollutant, source):
         return F.min_by(F.when(is_pollutant, F.col(source)), F.when(is_pollutant, F.col("rank")))
 
-    return _wide(_by_level(readings, levels), pick, slugs)
+    return _wide(by_level, pick, slugs or fv.POLLUTANT_SLUGS)
+
+
+def level_partials(df: DataFrame, levels: tuple[str, ...] = fv.VERIFICATION_LEVELS, *by: str) -> DataFrame:
+    """Sums of prepared readings that merge over files and batches."""
+    return df.groupBy(*by, *KEYS, level_rank(levels).alias("rank")).agg(
+        F.sum("value").alias("total"), F.count("value").alias("n"), F.max("value").alias("top"))
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Statistics by station, pollutant, day and level from partial sums."""
+    merged = partials.groupBy(*KEYS, "rank").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("top").alias("top"))
+    return merged.select(*KEYS, "rank", (F.col("total") / F.col("n")).alias("value_mean"),
+                         F.col("top").alias("value_max"), F.col("n").alias("reading_count"))
 
 
 def station_dimension(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airshed import fixed_values as fv
 from airshed.operators import features, grid, metrics, models, outcomes, quality, readings, summary
+from airshed.plans import incremental
 from airshed.session import build_session
 from airshed.sources import landing as landed
 from airshed.sources import tables
@@ -99,8 +100,15 @@ def landing(spark: SparkSession, source: str, target: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def update(spark: SparkSession, source: str, weather: str, weekly: str, base: str) -> DataFrame:
+    """Station-days, feature store and yearly summary below ``base``, brought up to date with
+    the reading files; returns the folders that were rebuilt."""
+    return incremental.update(spark, source, weather, weekly, base)
+
+
 JOBS = {"readings": clean_readings, "weather": clean_weather, "outcomes": clean_outcomes,
-        "features": join_features, "validate": validate, "landing": landing}
+        "features": join_features, "validate": validate, "landing": landing,
+        "update": update}
 
 
 def main() -> None:

@@ -226,7 +226,7 @@ STORE = ["station_id", "date", "season", "pm25_mean", "pm25_mean_lag1", "pm25_me
          "pm25_exceedance_t1", "pm25_exceedance_t2", "weekly_deaths"]
 
 
-@query(f"""select s.*, w.deaths as weekly_deaths from (
+STORE_SQL = (f"""select s.*, w.deaths as weekly_deaths from (
   select station_id, date, {SEASON} as season, pm25_mean, pm25_mean_lag1, pm25_mean_lag7,
     pm25_mean_rolling7d, boundary_layer_height_lag2, temp_2m_rolling14d, wind_speed,
     case when v1 > 25 then 1 else 0 end as pm25_exceedance_t1,
@@ -242,8 +242,11 @@ STORE = ["station_id", "date", "season", "pm25_mean", "pm25_mean_lag1", "pm25_me
     from days) where v1 is not null and v2 is not null) s
   left join weekly w on w.nuts3_code = substr(s.station_id,1,5) and w.year = isoyear(s.date)
     and w.week = week(s.date)""",
-       "pm25_mean pm25_mean_lag1 pm25_mean_lag7 pm25_mean_rolling7d boundary_layer_height_lag2 "
-       "temp_2m_rolling14d wind_speed weekly_deaths")
+    "pm25_mean pm25_mean_lag1 pm25_mean_lag7 pm25_mean_rolling7d boundary_layer_height_lag2 "
+    "temp_2m_rolling14d wind_speed weekly_deaths")
+
+
+@query(*STORE_SQL)
 def feature_store(t: Inputs) -> DataFrame:
     return t.store.select(*STORE)
 

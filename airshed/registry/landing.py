@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from airshed import fixed_values as fv
 from airshed.operators import profile as pf, quality as ql
+from airshed.plans import incremental
+from airshed.registry.cleaning import STORE, STORE_SQL
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
 from airshed.session import scratch_path
@@ -190,6 +192,51 @@ def new_data_gate(t: Inputs) -> DataFrame:
     return ql.new_data_gate(mf.manifest_diff(_manifest(t.raw), _previous(t)), _report(t, _landing(t)))
 
 
+# --- incremental rebuild ------------------------------------------------------------------
+
+def early_state(t: Inputs) -> DataFrame:
+    """Reading files as they were: one had not landed, one lacked the last days of Germany,
+    one held other French values and days that were withdrawn."""
+    day, country = F.to_date("Start"), F.substring("AirQualityStationEoICode", 1, 2)
+    file = F.concat("AirPollutant", F.lit("_"), "verification_level")
+    late = (file == "PM2.5_E1a") & (country == "DE") & (day >= F.lit("2024-01-20").cast("date"))
+    rows = t.raw.filter((file != "NO2_E1a") & ~late)
+    altered = (file == "PM10_E1a") & (country == "FR")
+    more = rows.filter(altered & (F.dayofmonth(day) <= 3)).withColumn(
+        "Start", F.expr("cast(Start as timestamp) + interval 400 days").cast(rows.schema["Start"].dataType))
+    changed = F.when(altered, (F.col("Value").try_cast("double") + 1).cast(rows.schema["Value"].dataType)).otherwise(F.col("Value"))
+    return rows.withColumn("Value", changed).unionByName(more)
+
+
+def write_readings(rows: DataFrame, folder: str) -> None:
+    """One dataset per pollutant and level; those that have rows are replaced."""
+    name = F.concat("AirPollutant", F.lit("_"), "verification_level", F.lit(".parquet"))
+    (rows.select(*RAW_COLUMNS, name.alias("source")).hint("rebalance", "source").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(folder))
+
+
+def prepare_update(t: Inputs, base: str) -> dict[str, str]:
+    """The other inputs of an update, written below ``base``."""
+    paths = {k: f"{base}/{k}" for k in ("weather", "weekly")}
+    write_partitioned(t.weather, paths["weather"])
+    write_partitioned(t.weekly, paths["weekly"])
+    return paths
+
+
+@query(*STORE_SQL)
+def incremental_store(t: Inputs) -> DataFrame:
+    """Built from an early state of the files, then brought up to date with those that changed."""
+    base = scratch_path(t.spark, "update")
+    inputs, raw = prepare_update(t, base), f"{base}/raw"
+    changed = ["NO2_E1a", "PM2.5_E1a", "PM10_E1a"]
+    write_readings(early_state(t), raw)
+    incremental.update(t.spark, raw, inputs["weather"], inputs["weekly"], base)
+    file = F.concat("AirPollutant", F.lit("_"), "verification_level")
+    write_readings(t.raw.filter(file.isin(changed)), raw)
+    incremental.update(t.spark, raw, inputs["weather"], inputs["weekly"], base)
+    return processed_table(t.spark, f"{base}/store", t.store.schema).select(*STORE)
+
+
 # --- streams ------------------------------------------------------------------------------
 
 def _stream(t: Inputs, files_per_batch: int | None = None) -> DataFrame:

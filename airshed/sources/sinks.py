@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_KEYS = ("country_code", "year")
 
@@ -23,3 +23,13 @@ def write_partitioned(df: DataFrame, path: str, keys: tuple[str, ...] = PARTITIO
         .partitionBy(*keys)
         .parquet(path)
     )
+
+
+def remove_partitions(spark: SparkSession, path: str, keys: tuple[str, ...], values: list[tuple]) -> None:
+    """Delete the folders of the given key values, where they exist."""
+    jvm = spark.sparkContext._jvm
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in values:
+        folder = "/".join(name(k, None if v is None else str(v)) for k, v in zip(keys, row))
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -36,23 +36,88 @@ def ingest_new_files(stream: DataFrame, target: str, checkpoint: str) -> Streami
     return query
 
 
-def _partials(readings: DataFrame, levels: tuple[str, ...]) -> DataFrame:
-    cleaned = rd.prepared(readings)
-    return cleaned.groupBy(*rd.KEYS, rd.level_rank(levels).alias("rank")).agg(
-        F.sum("value").alias("total"), F.count("value").alias("n"), F.max("value").alias("top")
-    )
+#: Runs of one level that are merged into a run of the next.
+FAN = 8
+
+
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _runs(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
+    """(first batch, last batch, path) of every run that was written to its end."""
+    root, files = _folder(spark, target)
+    if not files.exists(root):
+        return []
+    found = []
+    for status in files.listStatus(root):
+        path, name = status.getPath().toString(), status.getPath().getName()
+        if name.startswith("run=") and files.exists(_folder(spark, f"{path}/_SUCCESS")[0]):
+            first, last = name.removeprefix("run=").split("-")
+            found.append((int(first), int(last), path))
+    return found
+
+
+def live_runs(runs: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The runs that count, oldest first: a run within a longer one was merged into it."""
+    live = [r for r in runs if not any(o[0] <= r[0] and r[1] <= o[1] and o[:2] != r[:2] for o in runs)]
+    return sorted(live)
+
+
+def _merged(runs: DataFrame) -> DataFrame:
+    return runs.groupBy(*rd.KEYS, "rank").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("top").alias("top"))
+
+
+def _level(run: tuple[int, int, str], fan: int) -> int:
+    size, level = run[1] - run[0] + 1, 0
+    while size >= fan ** (level + 1):
+        level += 1
+    return level
+
+
+def compact(spark: SparkSession, target: str, fan: int = FAN) -> int:
+    """Merge runs like the digits of a counter: ``fan`` neighbours of a level become one.
+
+    After n batches at most (fan - 1) * log(n) runs are left, each with a row per station,
+    pollutant, day and level, so reading costs the same however many batches there were.  A
+    merged run is complete before its parts go; if a driver is lost in between, the parts
+    are left out by ``live_runs``.  Returns the number of live runs.
+    """
+    runs = _runs(spark, target)
+    live = live_runs(runs)
+    for _, _, path in set(runs) - set(live):
+        place, files = _folder(spark, path)
+        files.delete(place, True)
+    while True:
+        levels = [_level(r, fan) for r in live]
+        at = next((i for i in range(len(live) - fan + 1) if len(set(levels[i:i + fan])) == 1), None)
+        if at is None:
+            return len(live)
+        parts = live[at:at + fan]
+        path = f"{target}/run={parts[0][0]:012}-{parts[-1][1]:012}"
+        _merged(spark.read.parquet(*[p for *_, p in parts])).write.mode("overwrite").parquet(path)
+        for *_, part in parts:
+            place, files = _folder(spark, part)
+            files.delete(place, True)
+        live[at:at + fan] = [(parts[0][0], parts[-1][1], path)]
 
 
 def accumulate_daily(stream: DataFrame, target: str, checkpoint: str,
-                     levels: tuple[str, ...] = fv.VERIFICATION_LEVELS) -> StreamingQuery:
-    """Write mergeable daily partial sums of each batch into a folder of its own.
+                     levels: tuple[str, ...] = fv.VERIFICATION_LEVELS, fan: int = FAN) -> StreamingQuery:
+    """Write mergeable daily partial sums of each batch as a run of its own, and merge runs.
 
     Verified values may follow months after the unverified ones, so no watermark
     is used and no state is held: nothing arrives too late.  A batch that is
-    repeated after a failure overwrites its own folder.
+    repeated after a failure overwrites its own run; one that had been merged already
+    is left out.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _partials(batch, levels).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        run = f"{target}/run={batch_id:012}-{batch_id:012}"
+        rd.level_partials(rd.prepared(batch), levels).write.mode("overwrite").parquet(run)
+        compact(batch.sparkSession, target, fan)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -66,10 +131,8 @@ def accumulate_daily(stream: DataFrame, target: str, checkpoint: str,
 
 def current_daily(spark: SparkSession, target: str,
                   levels: tuple[str, ...] = fv.VERIFICATION_LEVELS) -> DataFrame:
-    """Merge the partial sums: equals the batch result over the same files."""
-    merged = spark.read.parquet(target).groupBy(*rd.KEYS, "rank").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("top").alias("top")
-    )
+    """Merge the partial sums of the live runs: equals the batch result over the same files."""
+    merged = _merged(spark.read.parquet(*[path for *_, path in live_runs(_runs(spark, target))]))
     best = merged.groupBy(*rd.KEYS).agg(
         F.min_by(F.col("total") / F.col("n"), "rank").alias("value_mean"),
         F.min_by("top", "rank").alias("value_max"),
