@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airshed import fixed_values as fv
-from airshed.functions import columns as fx
+from airshed.functions import columns as fx, tails
 from airshed.operators import regression as rg
 from airshed.operators import summary
 from airshed.operators.ordered import sums_in_ranges
 from airshed.session import cut_lineage
 
+OUTCOMES = ["deaths", "respiratory_deaths", "cardiovascular_deaths"]
 COVARIATES = ["temp_2m", "wind_speed", "precipitation", "boundary_layer_height"]
 
 
@@ -39,8 +40,10 @@ def panel_of_totals(totals: DataFrame, weekly: DataFrame, population: DataFrame,
     exposure = exposure.withColumn("monday", fx.iso_monday(F.col("iso_year"), F.col("iso_week")))
     runs = summary.episodes(summary.daily_means(totals), limit, min_days)
     treated = treated_weeks(runs).withColumn("treated", F.lit(1))
+    # Deaths by cause too, where the weekly table has them.
+    counted = [c for c in OUTCOMES if c in weekly.columns]
     outcome = weekly.groupBy("nuts3_code", F.col("date").alias("monday")).agg(
-        F.sum("deaths").alias("deaths")
+        *[F.sum(c).alias(c) for c in counted]
     )
     joined = (
         exposure.join(treated, ["nuts3_code", "monday"], "left")
@@ -51,9 +54,28 @@ def panel_of_totals(totals: DataFrame, weekly: DataFrame, population: DataFrame,
         "country_code": fx.country_of(F.col("nuts3_code")),
         "treated": F.coalesce("treated", F.lit(0)),
         "rate_per_100k": fx.ratio(F.col("deaths"), F.col("population")) * 100_000,
+        **{c.replace("_deaths", "_per_100k"): fx.ratio(F.col(c), F.col("population")) * 100_000
+           for c in counted if c != "deaths"},
     })
 
 
+def limit_runs(totals: DataFrame, weekly: DataFrame, population: DataFrame, limits: list[float],
+               outcomes: list[str], covariates: list[str] | None = None) -> DataFrame:
+    """Effect of treatment under each exposure limit and on each outcome (a placebo among
+    them), with the number of treated region-weeks behind it."""
+    totals = cut_lineage(totals)
+    table = None
+    for limit in limits:
+        rows = cut_lineage(panel_of_totals(totals, weekly, population, limit))
+        treated = rows.filter("treated = 1").count()
+        for outcome in outcomes:
+            found = did_att(rows, outcome, covariates).filter("term = 'treated'").drop("term").select(
+                F.lit(float(limit)).alias("limit_value"), F.lit(outcome).alias("outcome"), "*",
+                F.lit(treated).alias("n_treated"))
+            table = found if table is None else table.unionByName(found)
+    return table
+
+
 def baselines(region_day: DataFrame, days: int = 30) -> DataFrame:
     """Mean PM2.5 of the days before each Monday.
 
@@ -149,6 +171,24 @@ def did_att(panel_rows: DataFrame, outcome: str = "rate_per_100k",
 def event_study(panel_rows: DataFrame, outcome: str = "rate_per_100k", before: int = 4,
                 after: int = 8, covariates: list[str] | None = None) -> DataFrame:
     """Coefficient per week relative to the first episode; the week before it is the base."""
+    fit, names = _event_fit(panel_rows, outcome, before, after, covariates)
+    return rg.fit_table(panel_rows, fit, list(names.values()))
+
+
+def pretrend_test(panel_rows: DataFrame, outcome: str = "rate_per_100k", before: int = 4, after: int = 8,
+                  covariates: list[str] | None = None, level: float = 0.05) -> DataFrame:
+    """Joint test that the weeks before the base have no effect: one row with the Wald
+    statistic, its degrees of freedom, p by chi-square, and whether trends count as parallel."""
+    fit, names = _event_fit(panel_rows, outcome, before, after, covariates)
+    statistic, freedom = fit.joint([n for k, n in names.items() if k < -1])
+    row = panel_rows.sparkSession.createDataFrame([(statistic, freedom, fit.n)], "statistic double, freedom int, n long")
+    p = tails.chi_square_tail(F.col("statistic"), F.col("freedom"))
+    return row.withColumn("p_value", p).withColumn("parallel", F.col("p_value") >= level)
+
+
+def _event_fit(panel_rows: DataFrame, outcome: str, before: int, after: int,
+               covariates: list[str] | None) -> tuple[rg.Fit, dict[int, str]]:
+    """The fit of the event study and the name of each week's coefficient."""
     # Weeks of treated regions outside the span belong neither to a week of the study nor to
     # the base; only never treated regions serve beside them.
     timed = event_time(panel_rows, before, after)
@@ -160,8 +200,7 @@ def event_study(panel_rows: DataFrame, outcome: str = "rate_per_100k", before: i
         name: fx.flag(F.col("event_week") == k) for k, name in names.items()
     })
     x = [*names.values(), *(COVARIATES if covariates is None else covariates)]
-    fit = rg.two_way_fit(dummies, outcome, x, "nuts3_code", F.col("iso_week"))
-    return rg.fit_table(panel_rows, fit, list(names.values()))
+    return rg.two_way_fit(dummies, outcome, x, "nuts3_code", F.col("iso_week")), names
 
 
 def iv_wald(rows: DataFrame, y: str, d: str, z: str) -> DataFrame:
@@ -184,7 +223,7 @@ def first_stage_f(rows: DataFrame, d: str, z: str, minimum: float = 10.0) -> Dat
 def iv_2sls(rows: DataFrame, y: str = "rate_per_100k", d: str = "pm25_mean",
             instruments: list[str] | None = None, controls: list[str] | None = None,
             scale: float = 10.0, exclude_months: list[int] | None = None) -> DataFrame:
-    """2SLS effect of a 10 ug/m3 rise, OLS beside it, first-stage F and Sargan statistic.
+    """2SLS effect of a 10 ug/m3 rise, OLS beside it, first-stage F, Sargan statistic and its p.
 
     Overidentified with a second instrument; ``exclude_months=[6, 7, 8]`` is the
     sensitivity run without summer.
@@ -203,10 +242,11 @@ def iv_2sls(rows: DataFrame, y: str = "rate_per_100k", d: str = "pm25_mean",
          int(found["sargan_df"]), int(found["n"]))
         for kind in ("iv", "ols")
     ]
-    return rows.sparkSession.createDataFrame(
+    made = rows.sparkSession.createDataFrame(
         table, "estimator string, effect double, std_error double, ci_low double, "
                "ci_high double, first_stage_f double, sargan double, sargan_df int, n long"
     )
+    return made.withColumn("sargan_p", tails.chi_square_tail(F.col("sargan"), F.col("sargan_df")))
 
 
 def _fold(column: str, folds: int) -> Column:

@@ -64,7 +64,7 @@ def psi(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
     found = psi_bins(df, features, bins).groupBy("feature").agg(
         F.sum((p - q) * F.log(p / q)).alias("psi")
     )
-    return found.withColumn("level", _psi_level())
+    return found.withColumn("level", psi_level())
 
 
 def baseline_table(df: DataFrame, features: list[str], bins: int = 10) -> DataFrame:
@@ -98,10 +98,10 @@ def psi_against(current: DataFrame, table: DataFrame) -> DataFrame:
     shares = joined.select("feature", "share_base", F.coalesce(fx.ratio(F.col("n"), whole), F.lit(0.0)).alias("share_current"))
     p, q = _floored("share_current"), _floored("share_base")
     found = shares.groupBy("feature").agg(F.sum((p - q) * F.log(p / q)).alias("psi"))
-    return found.withColumn("level", _psi_level())
+    return found.withColumn("level", psi_level())
 
 
-def _psi_level() -> Column:
+def psi_level() -> Column:
     level = F.when(F.col("psi") > 0.25, "alert").when(F.col("psi") >= 0.1, "warning")
     return level.otherwise("stable")
 

@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airshed import fixed_values as fv
-from airshed.functions import columns as fx
+from airshed.functions import columns as fx, tails
 from airshed.operators.ordered import quantiles
 from airshed.session import cut_lineage
 
@@ -141,9 +141,10 @@ def instrument_relevance(df: DataFrame, instrument: str = "boundary_layer_height
     return found.select("r", "n", t.alias("t"), (F.abs(r) >= minimum).alias("relevant"))
 
 
-def with_p_value(df: DataFrame, t: str = "t") -> DataFrame:
-    """Two-sided p of a t statistic by the normal tail (large samples)."""
-    return df.withColumn("p_value", 2 * normal_tail(F.abs(F.col(t))))
+def with_p_value(df: DataFrame, t: str = "t", freedom: Column | None = None) -> DataFrame:
+    """Two-sided p of a t statistic: Student's with ``freedom`` degrees, else the normal tail."""
+    p = 2 * normal_tail(F.abs(F.col(t))) if freedom is None else tails.student_two_sided(F.col(t), freedom)
+    return df.withColumn("p_value", p)
 
 
 def normal_cdf(z: Column) -> Column:

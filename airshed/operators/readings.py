@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from airshed import fixed_values as fv
 from airshed.functions import columns as fx
@@ -62,14 +62,25 @@ def prepared(raw: DataFrame) -> DataFrame:
 
 def removed(raw: DataFrame) -> DataFrame:
     """One row: how many readings there are, and how many ``prepared`` leaves out and why."""
-    dated = with_calendar(standardise(raw))
+    return with_calendar(standardise(raw)).agg(*_removal_counts())
+
+
+def _removal_counts() -> list[Column]:
     valid = F.coalesce((F.col("validity") >= fv.MIN_VALIDITY) & (F.col("value") >= 0), F.lit(False))
-    return dated.agg(
-        F.count("*").alias("n_readings"),
+    return [
+        F.count(F.lit(1)).alias("n_readings"),
         F.count_if(~has_keys()).alias("n_without_key"),
         F.count_if(has_keys() & ~valid).alias("n_invalid"),
         F.count_if(has_keys() & valid).alias("n_kept"),
-    )
+    ]
+
+
+def observed(raw: DataFrame, name: str = "removed") -> tuple[DataFrame, Observation]:
+    """``prepared`` readings, with the counts of ``removed`` gathered by the pass that reads
+    them; the observation has them once the plan was written."""
+    dated = with_country(with_calendar(standardise(raw)))
+    counts = Observation(name)
+    return clip(valid_only(dated.observe(counts, *_removal_counts()).filter(has_keys()))), counts
 
 
 def level_rank(levels: tuple[str, ...]) -> Column:
@@ -155,7 +166,12 @@ def station_days(
     shuffles in all, the second over daily rows only.  ``mixed`` averages all
     levels together.
     """
-    readings = prepared(raw)
+    return days_of(prepared(raw), mode, levels, slugs)
+
+
+def days_of(readings: DataFrame, mode: str = "verified_first", levels: tuple[str, ...] = fv.VERIFICATION_LEVELS,
+            slugs: dict[str, str] | None = None) -> DataFrame:
+    """The wide table from prepared readings."""
     slugs = slugs or fv.POLLUTANT_SLUGS
     if mode == "mixed":
         return pivot_pollutants(daily_mixed(readings, levels), slugs)

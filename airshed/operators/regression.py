@@ -104,6 +104,14 @@ class Fit:
         return out
 
 
+    def joint(self, names: list[str]) -> tuple[float, int]:
+        """Wald statistic that all named coefficients are zero, and its degrees of freedom."""
+        at = [self.names.index(n) for n in names]
+        block = self.covariance[np.ix_(at, at)]
+        inverse = np.linalg.pinv(block, hermitian=True)
+        return float(self.beta[at] @ inverse @ self.beta[at]), int(np.linalg.matrix_rank(block, hermitian=True))
+
+
 FIT_SCHEMA = "term string, estimate double, std_error double, ci_low double, ci_high double, n long"
 
 

@@ -23,8 +23,11 @@ from airshed.sources.sinks import write_partitioned
 
 
 def clean_readings(spark: SparkSession, source: str, target: str) -> None:
-    """Raw reading files to the wide station-day table."""
-    write_partitioned(readings.station_days(load_readings(spark, source)), target)
+    """Raw reading files to the wide station-day table, and beside it (``TARGET_counts``) how
+    many readings were left out and why, counted by the pass that writes."""
+    valid, counts = readings.observed(load_readings(spark, source))
+    write_partitioned(readings.days_of(valid), target)
+    spark.createDataFrame([counts.get]).write.mode("overwrite").parquet(f"{target.rstrip('/')}_counts")
 
 
 def clean_weather(spark: SparkSession, source: str, stations: str, target: str) -> None:

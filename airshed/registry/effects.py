@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from airshed.operators import causal as cs, features as fe, metrics as mt, models as md
+from airshed.operators import causal as cs, features as fe, metrics as mt, models as md, outcomes as oc
 from airshed.operators import summary as sm
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
@@ -27,6 +27,23 @@ def causal_panel(t: Inputs) -> DataFrame:
     return _panel(t)
 
 
+CAUSES = """join (select substr(nuts3_code,1,4) as nuts2_code, year, sum(deaths) as all_deaths
+    from weekly group by 1,2) a on a.nuts2_code = substr(p.nuts3_code,1,4) and a.year = p.iso_year
+  left join causes {0} on {0}.nuts2_code = a.nuts2_code and {0}.year = a.year and {0}.cause_group = '{1}'"""
+
+
+@query(" union all ".join(f"""select p.nuts3_code, p.monday, p.treated, '{g}' as cause,
+    p.deaths * c.deaths / a.all_deaths as cause_deaths,
+    p.deaths * c.deaths / a.all_deaths / p.population * 100000 as cause_rate from panel p {CAUSES.format('c', g)}
+    where p.deaths is not null""" for g in ("respiratory", "cardiovascular")), "cause_deaths cause_rate")
+def causal_panel_causes(t: Inputs) -> DataFrame:
+    """Weekly deaths by cause as outcomes of the panel."""
+    rows = cs.panel(t.days, oc.split_by_cause(t.weekly, t.causes), t.population)
+    return rows.filter("deaths is not null").select("nuts3_code", "monday", "treated", F.inline(F.array(*[
+        F.struct(F.lit(g).alias("cause"), F.col(f"{g}_deaths").alias("cause_deaths"),
+                 F.col(f"{g}_per_100k").alias("cause_rate")) for g in ("respiratory", "cardiovascular")])))
+
+
 @query("""select p.nuts3_code, p.monday, p.treated, case when (p.monday - f.first)/7
     between -4 and 8 then cast((p.monday - f.first)/7 as int) end as event_week
   from panel_high p left join (select nuts3_code, min(monday) as first from panel_high
@@ -73,6 +90,19 @@ def did_att(t: Inputs) -> DataFrame:
     return cs.did_att(_panel(t, LIMIT))
 
 
+@query()
+def did_limits(t: Inputs) -> DataFrame:
+    """Robustness: other limits, deaths by cause, and rain as an outcome that cannot respond."""
+    return cs.limit_runs(sm.region_day_totals(t.days), oc.split_by_cause(t.weekly, t.causes), t.population,
+                         [LIMIT, 25.0, 15.0, 5.0], ["rate_per_100k", "respiratory_per_100k", "precipitation"],
+                         ["temp_2m", "wind_speed"])
+
+
+@query()
+def pretrend_test(t: Inputs) -> DataFrame:
+    return cs.pretrend_test(_panel(t, LIMIT))
+
+
 @query()
 def event_study(t: Inputs) -> DataFrame:
     return cs.event_study(_panel(t, LIMIT))
@@ -124,18 +154,19 @@ def cate_two_season(t: Inputs) -> DataFrame:
     return cs.slopes_by_group(_panel(t), season, "rate_per_100k", "pm25_mean")
 
 
-@query("""select nuts3_code, pm25_mean, population, greatest(pm25_mean - 5, 0) as exposure_change,
-  (select regr_slope(rate_per_100k, pm25_mean) from panel) * greatest(pm25_mean - 5, 0)
-    * population / 100000 as deaths_avoided
+@query(f"""select nuts3_code, pm25_mean, population, greatest(pm25_mean - 5, 0) as exposure_change,
+  (select covar_samp(boundary_layer_height, rate_per_100k) / covar_samp(boundary_layer_height, pm25_mean)
+    from panel where {IV}) * greatest(pm25_mean - 5, 0) * population / 100000 as deaths_avoided
   from (select nuts3_code, avg(pm25_mean) as pm25_mean, max(population) as population
     from panel group by 1)""", "pm25_mean exposure_change deaths_avoided")
 def health_impact(t: Inputs) -> DataFrame:
-    rows = cut_lineage(_panel(t))  # read for the regions and for the slope
+    """By the effect that the instrument identifies."""
+    rows = cut_lineage(_panel(t))  # read for the regions and for the effect
     regions = rows.groupBy("nuts3_code").agg(
         F.avg("pm25_mean").alias("pm25_mean"), F.max("population").alias("population")
     )
-    slope = rows.agg(F.regr_slope("rate_per_100k", "pm25_mean"))
-    return cs.health_impact(regions, slope.scalar())
+    effect = cs.iv_wald(rows, "rate_per_100k", "pm25_mean", "boundary_layer_height").select("iv_estimate")
+    return cs.health_impact(regions, effect.scalar())
 
 
 # --- classifiers --------------------------------------------------------------------------

@@ -129,9 +129,23 @@ def iv_relevance(t: Inputs) -> DataFrame:
     return pf.instrument_relevance(t.days)
 
 
-@query()
+# Student's distribution for v whole degrees of freedom is a finite sum of terms in the cosine
+# of th = atan(t / sqrt(v)); each is the one before times cos(th)^2 (k + 1) / (k + 2).
+@query("""with recursive f as (
+  select r, n, n - 2 as v, r*sqrt(n-2)/sqrt(1-r*r) as t, abs(r) >= 0.15 as relevant from (
+    select corr(boundary_layer_height, pm25_mean) as r, count(*) as n from days
+    where boundary_layer_height is not null and pm25_mean is not null)),
+s(k, v, th, term, total) as (
+  select v % 2, v, atan(t / sqrt(v)), case when v % 2 = 0 then 1.0::double else cos(atan(t / sqrt(v))) end,
+    case when v = 1 then 0.0::double when v % 2 = 0 then 1.0 else cos(atan(t / sqrt(v))) end from f
+  union all select k + 2, v, th, term * cos(th) * cos(th) * (k + 1.0) / (k + 2.0),
+    total + term * cos(th) * cos(th) * (k + 1.0) / (k + 2.0) from s where k + 2 <= v - 2)
+select r, n, t, relevant, 1 - abs(case when s.v % 2 = 0 then sin(th) * total
+  else 2 / pi() * (th + sin(th) * total) end) as p_value from f cross join (select * from s order by k desc limit 1) s""",
+       "r t p_value")
 def iv_relevance_p(t: Inputs) -> DataFrame:
-    return pf.with_p_value(pf.instrument_relevance(t.days))
+    found = pf.instrument_relevance(t.days)
+    return pf.with_p_value(found, freedom=F.col("n") - 2)
 
 
 PARTNERS = ["temp_2m", "wind_speed", "boundary_layer_height"]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from airshed import fixed_values as fv
-from airshed.operators import drift as dr, metrics as mt
+from airshed.operators import drift as dr, metrics as mt, sketches as sk
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
-from airshed.session import scratch_path
+from airshed.session import kept, scratch_path
 
 CURVE = """select score, 1.0*sum(p) over w / (sum(p) over w + sum(q) over w) as precision,
   1.0*sum(p) over w / sum(p) over () as recall from (
@@ -188,6 +188,16 @@ def psi(t: Inputs) -> DataFrame:
     return dr.psi(t.scores, FEATURES)
 
 
+@query(f"""select feature, psi, true as close from ({_psi_sql(LONG)})""", "psi")
+def psi_sketch(t: Inputs) -> DataFrame:
+    """The index from sketches of weeks, merged, beside the exact one: within 0.02."""
+    week = F.date_trunc("week", "date").alias("week")
+    parts = sk.value_sketches(t.scores.select("*", week), FEATURES, ("is_current", "week"))
+    merged = kept(sk.merge_values(kept(parts, "sketches"), ("is_current",)), "merged")
+    found = sk.psi(merged.filter("not is_current"), merged.filter("is_current"))
+    return sk.within(found, dr.psi(t.scores, FEATURES), "feature", "psi", 0.02)
+
+
 KS_P = " + ".join(f"{2 * (-1) ** (k - 1)} * exp(-2.0*{k * k}*z*z)" for k in range(1, 31))
 
 
