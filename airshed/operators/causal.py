@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airshed import fixed_values as fv
@@ -128,6 +132,51 @@ def match_controls(panel_rows: DataFrame, base: DataFrame, band: float = 0.20) -
     )
 
 
+def nearest_controls(panel_rows: DataFrame, base: DataFrame, k: int = 3) -> DataFrame:
+    """The ``k`` controls of each treated region-week with the nearest baselines, ties by code.
+
+    Untreated regions of a country and week are numbered in order of their baseline.  The
+    nearest ones of a treated region lie next to its place in that order, at most ``k`` to
+    either side, so it looks up 2 k numbers; no pairs are formed.  A window holds the regions
+    of one country.
+    """
+    keys = ["country_code", "monday"]
+    joined = panel_rows.join(base, ["nuts3_code", "monday"]).filter(F.col("baseline").isNotNull())
+    group = Window.partitionBy(*keys)
+    # From below the smallest code of equal baselines comes last, from above it comes first.
+    order = {"down": ["baseline", F.desc("nuts3_code")], "up": ["baseline", "nuts3_code"]}
+    upto = group.orderBy("baseline").rangeBetween(Window.unboundedPreceding, 0)
+    is_control = F.col("treated") == 0
+    rows = joined.withColumn("upto", F.count(F.when(is_control, 1)).over(upto))
+    rows = cut_lineage(rows.withColumns({
+        side: F.when(is_control, F.count(F.when(is_control, 1)).over(group.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)))
+        for side, by in order.items()}))
+    controls = rows.filter(is_control)
+
+    def beside(side: str) -> Column:
+        steps = F.sequence(F.lit(0), F.lit(k - 1))
+        return F.transform(steps, lambda i: F.struct(
+            F.lit(side).alias("side"), (F.col("upto") + (-i if side == "down" else i + 1)).alias("place")))
+
+    places = F.inline(F.concat(*[beside(side) for side in order]))
+    wanted = rows.filter(F.col("treated") == 1).select(*keys, "nuts3_code", "baseline", "rate_per_100k", places)
+    known = controls.select(*keys, F.inline(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("place")) for side in order])),
+                            F.col("nuts3_code").alias("control"), F.col("baseline").alias("control_baseline"),
+                            F.col("rate_per_100k").alias("rate"))
+    # Of the controls up to its own baseline those numbered downwards count, of the others those upwards.
+    near = wanted.join(known, [*keys, "side", "place"], "left")
+    near = near.filter(F.col("control").isNotNull() & ((F.col("side") == "down") == (F.col("control_baseline") <= F.col("baseline"))))
+    gap = F.abs(F.col("control_baseline") - F.col("baseline"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "nuts3_code").orderBy(gap, "control"))
+    found = near.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy(*keys, "nuts3_code").agg(
+        F.count(F.lit(1)).alias("n_controls"), F.avg("rate").alias("control_rate"),
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("rank", "control"))), lambda c: c["control"])).alias("controls"))
+    treated = rows.filter(F.col("treated") == 1).select(*keys, "nuts3_code", "baseline", "rate_per_100k")
+    return treated.join(found, [*keys, "nuts3_code"], "left").select(
+        *keys, "nuts3_code", "baseline", "rate_per_100k", F.coalesce("n_controls", F.lit(0)).alias("n_controls"), "controls",
+        "control_rate", (F.col("rate_per_100k") - F.col("control_rate")).alias("difference"))
+
+
 def event_time(panel_rows: DataFrame, before: int = 4, after: int = 8) -> DataFrame:
     """Weeks since the region's first treated week; outside the span, or never treated, null."""
     own = Window.partitionBy("nuts3_code")
@@ -253,14 +302,34 @@ def _fold(column: str, folds: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(folds)).cast("int")
 
 
+def _tree_residuals(folded: DataFrame, targets: dict[str, str], controls: list[str], folds: int,
+                    rounds: int, depth: int) -> DataFrame:
+    """The rows with each target less its prediction by boosted trees fitted on the other folds."""
+    ready = VectorAssembler(inputCols=controls, outputCol="_x").transform(folded)
+    parts = []
+    for k in range(folds):
+        part = ready.filter(F.col("_fold") == k)
+        for name, target in targets.items():
+            trees = GBTRegressor(featuresCol="_x", labelCol=target, predictionCol=f"_p{name}", maxIter=rounds,
+                                 maxDepth=depth, stepSize=0.2, subsamplingRate=0.8, seed=7)
+            model = trees.fit(ready.filter(F.col("_fold") != k))
+            part = model.transform(part).withColumn(name, F.col(target) - F.col(f"_p{name}")).drop(f"_p{name}")
+        parts.append(part.drop("_x"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cate_by_group(rows: DataFrame, modifier: str, y: str = "rate_per_100k", d: str = "pm25_mean",
-                  controls: list[str] | None = None, folds: int = 2) -> DataFrame:
+                  controls: list[str] | None = None, folds: int = 2, nuisance: str = "linear",
+                  rounds: int = 40, depth: int = 4) -> DataFrame:
     """Effect of the exposure per value of an effect modifier, with 95 % intervals.
 
     Exposure and outcome are each predicted from the controls by a model fitted
     on the other folds (regions are assigned to folds whole); the effect is the
-    slope between the two residuals within each group.
+    slope between the two residuals within each group.  ``nuisance``: linear models, or
+    boosted ``trees`` where confounders act in curves.
     """
+    if nuisance not in ("linear", "trees"):
+        raise ValueError(f"unknown nuisance {nuisance!r}")
     controls = COVARIATES if controls is None else controls
     complete = rows.select("nuts3_code", y, d, modifier, *[c for c in controls if c != modifier])
     complete = complete.dropna(subset=[y, d, modifier, *controls])
@@ -274,7 +343,10 @@ def cate_by_group(rows: DataFrame, modifier: str, y: str = "rate_per_100k", d: s
             predicted = F.when(F.col("_fold") == k, value).otherwise(predicted)
         return F.col(target) - predicted
 
-    res = folded.select(modifier, residual(y).alias("ry"), residual(d).alias("rd"))
+    if nuisance == "trees":
+        res = cut_lineage(_tree_residuals(folded, {"ry": y, "rd": d}, controls, folds, rounds, depth).select(modifier, "ry", "rd"))
+    else:
+        res = folded.select(modifier, residual(y).alias("ry"), residual(d).alias("rd"))
     ry, rd = F.col("ry"), F.col("rd")
     sums = res.groupBy(modifier).agg(
         F.sum(ry * rd).alias("yd"), F.sum(rd * rd).alias("dd"), F.sum(ry * ry).alias("yy"),

@@ -73,6 +73,22 @@ def match_controls(t: Inputs) -> DataFrame:
     return cs.match_controls(rows, cs.baselines(sm.daily_means(totals)))
 
 
+@query(f"""select a.country_code, a.monday, a.nuts3_code, a.baseline, a.rate_per_100k, count(c.nuts3_code) as n_controls,
+  string_agg(c.nuts3_code, ',' order by rank) as controls, avg(c.rate_per_100k) as control_rate,
+  a.rate_per_100k - avg(c.rate_per_100k) as difference
+  from (select * from ({BASE}) where treated = 1) a left join (
+    select t.nuts3_code as of_code, t.monday as of_monday, c.*,
+      row_number() over (partition by t.nuts3_code, t.monday order by abs(c.baseline - t.baseline), c.nuts3_code) as rank
+    from (select * from ({BASE}) where treated = 1) t join (select * from ({BASE}) where treated = 0) c
+      on c.country_code = t.country_code and c.monday = t.monday) c
+    on c.of_code = a.nuts3_code and c.of_monday = a.monday and c.rank <= 3
+  group by 1,2,3,4,5""", "baseline rate_per_100k control_rate difference")
+def nearest_controls(t: Inputs) -> DataFrame:
+    totals = cut_lineage(sm.region_day_totals(t.days))
+    rows = cs.panel_of_totals(totals, t.weekly, t.population, LIMIT)
+    return cs.nearest_controls(rows, cs.baselines(sm.daily_means(totals)))
+
+
 @query("""select *, (treated_post - treated_pre) - (control_post - control_pre) as did from (
   select avg(case when ever = 1 and not post then rate_per_100k end) as treated_pre,
     avg(case when ever = 1 and post then rate_per_100k end) as treated_post,

@@ -102,3 +102,43 @@ def test_removal_is_counted_by_the_pass_that_writes(spark, tmp_path):
     assert got == rd.removed(raw).first().asDict()
     valid, _ = rd.observed(spark.read.parquet(f"{tmp_path}/raw").withColumn("verification_level", F.lit("E1a")), "again")
     assert rd.days_of(valid)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_nearest_controls_are_those_of_all_pairs(spark):
+    draw = random.Random(8)
+    day = [r[2] for r in make_panel(2, 3, drop=0)][:3]
+    rows, base = [], []
+    for country in ("AA", "BB"):
+        for i in range(30):
+            for monday in day:
+                value = draw.choice([1.0, 2.0, 2.5, 7.0, draw.random() * 9])
+                rows.append((f"{country}{i:02}", country, monday, int(draw.random() < (0.3 if country == "AA" else 0.97)),
+                             None if draw.random() < 0.1 else draw.random()))
+                base.append((f"{country}{i:02}", monday, None if draw.random() < 0.05 else value))
+    panel = spark.createDataFrame(rows, "nuts3_code string, country_code string, monday date, treated int, rate_per_100k double")
+    got = cs.nearest_controls(panel, spark.createDataFrame(base, "nuts3_code string, monday date, baseline double"), 4).collect()
+    known = {(c, m): b for c, m, b in base if b is not None}
+    want = {}
+    for code, country, monday, treated, _ in rows:
+        if treated and (code, monday) in known:
+            near = sorted((abs(known[c, m] - known[code, m]), c) for c, k, m, t, _ in rows
+                          if k == country and m == monday and not t and (c, m) in known)[:4]
+            want[code, monday] = ",".join(c for _, c in near) or None
+    assert {(r.nuts3_code, r.monday): r.controls for r in got} == want
+    assert all(r.n_controls == len((r.controls or "").split(",")) * bool(r.controls) for r in got)
+
+
+def test_curved_confounding_needs_trees(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(4000):
+        z, w = rng.uniform(-2, 2), rng.normal()
+        group = i % 2
+        d = z * z + rng.normal()
+        rows.append((f"R{i % 200:03}", "summer" if group else "winter", float(d), float(z), float(w),
+                     float((1.0 if group else 3.0) * d + 3 * z * z + w + rng.normal())))
+    df = spark.createDataFrame(rows, "nuts3_code string, season string, pm25_mean double, z double, w double, rate_per_100k double")
+    found = {n: {r.season: r.effect for r in cs.cate_by_group(df, "season", controls=["z", "w"], nuisance=n).collect()}
+             for n in ("linear", "trees")}
+    for season, true in (("summer", 1.0), ("winter", 3.0)):
+        assert abs(found["linear"][season] - true) > 1 and abs(found["trees"][season] - true) < 0.35
