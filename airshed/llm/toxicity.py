@@ -7,10 +7,11 @@ Fitting takes a bounded sample of labelled documents in one task:
    only runs of bytes stay whose 8-byte pieces stand in significantly more toxic than
    ordinary documents.  The toxic side continues with the ordinary dictionary, so both sides
    compress ordinary wording alike and lengths differ where toxic wording is met.
-2. Thresholds are calibrated on documents that the dictionaries have not seen: each half of
-   the sample is measured with dictionaries trained on the other half.  The smallest saving
+2. Thresholds are calibrated on documents that the dictionaries have not seen: each part of
+   the sample is measured with dictionaries trained on the other parts.  The smallest saving
    that few ordinary windows reach becomes the window threshold; a logistic curve over the
-   savings of a document gives its score.
+   savings of a document gives its score, moved down where more than a few ordinary documents
+   would reach the cut.
 3. The dictionaries that score are trained on the whole sample.
 
 Scoring reads whole texts in windows of 64 bytes (with 8 more of the next window) and
@@ -42,6 +43,10 @@ TOXIC_BYTES, ORDINARY_BYTES = 110_000, 32_768
 TRAINED, SAMPLES = 256, 8
 #: Part of ordinary windows that may reach the window threshold.
 WINDOW_ERROR = 0.003
+#: Part of ordinary documents that may reach the cut.
+DOCUMENT_ERROR, CUT = 0.005, 0.7
+#: Parts of the sample for calibration.
+FOLDS = 4
 LEVEL = 6
 
 
@@ -152,10 +157,10 @@ def fit(rows: list[tuple]) -> bytes:
     rows = list(rows)
     draw.shuffle(rows)
     rows = labelled.copies_left_out(rows)
-    halves = [rows[::2], rows[1::2]]
     saved, order = [], []
-    for learned, check in (halves, halves[::-1]):
-        sides = _compressors(*dictionaries(learned))
+    for k in range(FOLDS):
+        check = rows[k::FOLDS]
+        sides = _compressors(*dictionaries([r for i, r in enumerate(rows) if i % FOLDS != k]))
         saved += [savings(t, *sides) for _, t, _, _ in check]
         order += check
     y = np.array([r[2] for r in order], dtype=float)
@@ -164,6 +169,10 @@ def fit(rows: list[tuple]) -> bytes:
     threshold = next(t for t in range(1, 64) if (clean >= t).mean() <= WINDOW_ERROR or t == 63)
     x = np.array([features(s, threshold) for s in saved])
     beta = labelled.logistic(x, y, weight / weight.mean()) if len(x) else np.array([0.0, 0.0, -3.0])
+    if (y == 0).any():
+        reached = np.sort(x[y == 0] @ beta[:-1] + beta[-1])
+        allowed = reached[int((1 - DOCUMENT_ERROR) * (len(reached) - 1))]
+        beta[-1] -= max(0.0, allowed - math.log(CUT / (1 - CUT)))
     return pickle.dumps((dictionaries(rows), threshold, beta))
 
 
