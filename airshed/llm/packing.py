@@ -39,7 +39,9 @@ PRE_TOKEN = re.compile(rf" ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+
 #: in which every one is a pre-token.
 SPACED = re.compile(rf" [{LATIN}]+")
 LINE = 256
-REMEMBERED = 1_200_000
+#: Such texts encoded together.
+LINES = 32
+REMEMBERED = 600_000
 #: Characters encoded together.
 TOGETHER = 2_000_000
 POOL = 512
@@ -108,18 +110,25 @@ class Encoder:
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the number of ids of each."""
-        spaced = [bool(self.by_parts and SPACED.fullmatch(w)) for w in words]
+        spaced = np.array([bool(self.by_parts and SPACED.fullmatch(w)) for w in words])
         many = [w for w, s in zip(words, spaced) if s]
-        lines = ["".join(many[i:i + LINE]) for i in range(0, len(many), LINE)]
         alone = [w for w, s in zip(words, spaced) if not s]
-        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)  # the fast form names no words
-        found += self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
-        flat = np.fromiter(chain.from_iterable(x.ids for x in found), "<u4")
         size = np.zeros(len(words), dtype=np.int64)
-        spaced = np.array(spaced)
-        size[spaced] = np.concatenate(
-            [np.bincount(x.word_ids) for x in found[:len(lines)]] or [np.zeros(0, dtype=np.int64)])
-        size[~spaced] = [len(x.ids) for x in found[len(lines):]]
+        ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
+        # A few lines at a time: full encodings are much larger than their ids.
+        for i in range(0, len(many), LINE * LINES):
+            part = ["".join(many[j:j + LINE]) for j in range(i, min(i + LINE * LINES, len(many)), LINE)]
+            for x in self.tokenizer.encode_batch(part, add_special_tokens=False):  # the fast form names no words
+                ids.append(np.array(x.ids, dtype="<u4"))
+                sizes.append(np.bincount(x.word_ids))
+        size[spaced] = np.concatenate(sizes)
+        sizes = []
+        for i in range(0, len(alone), LINE * LINES):
+            for x in self.tokenizer.encode_batch_fast(alone[i:i + LINE * LINES], add_special_tokens=False):
+                ids.append(np.array(x.ids, dtype="<u4"))
+                sizes.append(len(ids[-1]))
+        size[~spaced] = sizes
+        flat = np.concatenate(ids)
         # The ids stand in order of lines, then of words alone.
         order = np.append(np.flatnonzero(spaced), np.flatnonzero(~spaced))
         start = np.empty(len(words), dtype=np.int64)
