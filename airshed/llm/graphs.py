@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from airshed.session import kept
 
+#: Parts that the links of one node are dealt to.
+SALTS = 256
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     """Rows (u, v) for either direction, from one read."""
@@ -19,18 +22,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
     ``large``: larger neighbours of a node move to the smallest of all, the node
     included; otherwise smaller neighbours and the node move to the smallest of them.
-    The smallest neighbour is an aggregate, so a node with millions of links needs no
-    group in memory.  The rows of one node are dealt to one task of the join behind it, as a
-    stream of two numbers each.
+    The neighbours of one node are dealt to ``SALTS`` parts; each part has its minimum, and
+    the node's is that of at most so many rows.  So no task holds all links of a node.
     """
     near = _both_ways(edges)
     near = near if large else near.filter("v < u")
-    least = near.groupBy("u").agg(F.min("v").alias("m"))
+    near = near.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    smallest = F.min("m").over(Window.partitionBy("u"))
+    least = near.groupBy("u", "part").agg(F.min("v").alias("m")).select("u", "part", smallest.alias("m"))
     if large:
-        least = least.select("u", F.least("u", "m").alias("m"))
-        moved = near.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        moved = near.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        least = least.select("u", "part", F.least("u", "m").alias("m"))
+        near = near.filter("v > u")
+    moved = near.join(least, ["u", "part"]).select(F.col("v").alias("a"), F.col("m").alias("b"))
+    if not large:
         moved = moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return moved.filter("a <> b").distinct()
 

@@ -104,6 +104,16 @@ def test_components_of_a_chain_and_a_star(spark):
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_of_one_node_are_dealt_to_many_tasks(spark):
+    links = spark.range(1, 20001).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    got = graphs.components(links.union(spark.createDataFrame([(30000, 20000)], "a long, b long")))
+    assert got.filter("component = 0").count() == 20002 == got.count()
+    for large in (True, False):
+        plan = graphs._star(links, large)._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert joins and all("part" in line for line in joins)
+
+
 @pytest.mark.parametrize("chunk", [repeats.CHUNK_BYTES, 3000])
 def test_repeats_are_those_of_all_windows(spark, rows, monkeypatch, chunk):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", chunk)
