@@ -17,7 +17,7 @@ from airshed.operators import features, grid, metrics, models, outcomes, quality
 from airshed.plans import incremental
 from airshed.session import build_session
 from airshed.sources import landing as landed
-from airshed.sources import tables
+from airshed.sources import quarantine, tables
 from airshed.sources.readings import load_readings
 from airshed.sources.sinks import write_partitioned
 
@@ -31,9 +31,12 @@ def clean_readings(spark: SparkSession, source: str, target: str) -> None:
 
 
 def clean_weather(spark: SparkSession, source: str, stations: str, target: str) -> None:
-    """Hourly grid table and station table to station-day weather."""
-    weather = grid.station_weather(spark.read.parquet(source), spark.read.parquet(stations))
-    write_partitioned(weather, target)
+    """Hourly grid files and station table to station-day weather.  Grid files that cannot be
+    read as declared are left out and named in ``TARGET_quarantine``."""
+    noted = f"{target.rstrip('/')}_quarantine"
+    quarantine.file_report(spark, source, tables.GRID_SCHEMA).write.mode("overwrite").parquet(noted)
+    hours = quarantine.sound_rows(spark, source, tables.GRID_SCHEMA, spark.read.parquet(noted))
+    write_partitioned(grid.station_weather(hours, spark.read.parquet(stations)), target)
 
 
 def clean_outcomes(spark: SparkSession, source: str, target: str) -> None:

@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from airshed import fixed_values as fv
-from airshed.operators import profile as pf, quality as ql
+from airshed.operators import grid, profile as pf, quality as ql
 from airshed.plans import incremental
 from airshed.registry.cleaning import STORE, STORE_SQL
 from airshed.registry.core import query
 from airshed.registry.inputs import Inputs
-from airshed.session import scratch_path
+from airshed.session import kept, scratch_path
 from airshed.sources import landing as ld
 from airshed.sources import manifest as mf
+from airshed.sources import quarantine as qr
 from airshed.sources import readings as sr
 from airshed.sources.sinks import write_partitioned
-from airshed.sources.tables import WHO_FILE, processed_table, who_table
+from airshed.sources.tables import GRID_SCHEMA, WHO_FILE, processed_table, who_table
 from airshed.streaming import ingest as si
 
 RAW_COLUMNS = ["AirQualityStationEoICode", "AirPollutant", "Start", "Value", "Validity"]
@@ -192,6 +193,57 @@ def new_data_gate(t: Inputs) -> DataFrame:
     return ql.new_data_gate(mf.manifest_diff(_manifest(t.raw), _previous(t)), _report(t, _landing(t)))
 
 
+# --- quarantine ---------------------------------------------------------------------------
+
+# A grid file holds text where a number is declared, one is no Parquet file at all.
+MISTYPED, BROKEN = "day_3.parquet", "day_7.parquet"
+
+
+def _grid_files(t: Inputs) -> str:
+    folder = scratch_path(t.spark, "grid")
+    name = F.concat(F.lit("day_"), F.dayofmonth("time"), F.lit(".parquet"))
+    rows = t.grid.withColumn("source", name)
+    good = rows.filter(~F.col("source").isin(MISTYPED, BROKEN))
+    good.hint("rebalance", "source").write.partitionBy("source").parquet(folder)
+    rows.filter(F.col("source") == MISTYPED).drop("source").withColumn(
+        "t2m", F.concat("t2m", F.lit(" K"))).write.parquet(f"{folder}/source={MISTYPED}")
+    jvm = t.spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/source={BROKEN}/part-0.parquet")
+    out = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.writeBytes("broken off")
+    out.close()
+    return folder
+
+
+GRID_DAY = "'day_' || (day_idx + 1) || '.parquet'"
+
+
+@query(f"""select * from (select file_name, count(*) as n_rows, count(*) as n_kept, cast(null as varchar) as reason
+    from (select {GRID_DAY} as file_name from fx_grid) where file_name not in ('{MISTYPED}', '{BROKEN}') group by 1)
+  union all select '{MISTYPED}', count(*), 0, '{qr.ROWS}' from fx_grid where {GRID_DAY} = '{MISTYPED}'
+  union all select '{BROKEN}', 0, 0, '{qr.FOOTER}'""")
+def grid_quarantine(t: Inputs) -> DataFrame:
+    """Datasets of the grid with what each holds, what is kept of it and why not more."""
+    folder = _grid_files(t)
+    report = kept(qr.file_report(t.spark, folder, GRID_SCHEMA), "report")
+    rows = qr.sound_rows(t.spark, folder, GRID_SCHEMA, report)
+    taken = rows.groupBy(F.dayofmonth("time").alias("day")).agg(F.count(F.lit(1)).alias("n_kept"))
+    taken = taken.select(F.concat(F.lit("day_"), "day", F.lit(".parquet")).alias("file_name"), "n_kept")
+    return report.groupBy("file_name").agg(
+        F.sum("n_footer").alias("n_rows"), F.max("reason").alias("reason")).join(taken, "file_name", "left").select(
+        "file_name", "n_rows", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), "reason")
+
+
+@query("""select station_id, date, temp_2m, precipitation from weather
+  where day(date) not in (3, 7)""", "temp_2m precipitation")
+def weather_quarantined(t: Inputs) -> DataFrame:
+    """Station-days of a grid with two bad files: the other days as ever."""
+    folder = _grid_files(t)
+    report = kept(qr.file_report(t.spark, folder, GRID_SCHEMA), "report")
+    hours = qr.sound_rows(t.spark, folder, GRID_SCHEMA, report)
+    return grid.station_weather(hours, t.stations).select("station_id", "date", "temp_2m", "precipitation")
+
+
 # --- incremental rebuild ------------------------------------------------------------------
 
 def early_state(t: Inputs) -> DataFrame:

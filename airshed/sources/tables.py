@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from airshed import fixed_values as fv
+
 WHO_FILE = "mortalitydata.csv"
 WHO_COLUMNS = ["country", "cause", "year", "deaths1"]
 
@@ -18,6 +20,11 @@ OUTCOME_SCHEMA = T.StructType([
     T.StructField("year", T.IntegerType()),
 ])
 
+#: The weather grid as a long table, one row per node and hour.
+GRID_SCHEMA = T.StructType(
+    [T.StructField("time", T.TimestampType())]
+    + [T.StructField(c, T.DoubleType()) for c in ("latitude", "longitude", *fv.GRID_VARIABLES)])
+
 
 def wide_table(spark: SparkSession, path: str) -> DataFrame:
     """A table with one column per period."""

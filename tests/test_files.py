@@ -178,3 +178,36 @@ def test_unknown_modes_are_refused(spark):
     df = spark.createDataFrame([reading("1")], RAW)
     with pytest.raises(ValueError):
         rd.station_days(df, "other")
+
+
+def test_bad_files_are_named_and_left_out(spark, tmp_path):
+    from airshed.sources import quarantine
+
+    folder, schema = f"{tmp_path}/in", "id long, x double"
+    schema = spark.createDataFrame([], schema).schema
+    rows = spark.range(10).select("id", F.col("id").cast("double").alias("x"))
+    rows.coalesce(1).write.parquet(f"{folder}/a b.parquet")
+    rows.withColumn("x", F.col("x").cast("string")).coalesce(1).write.parquet(f"{folder}/text.parquet")
+    rows.limit(0).coalesce(1).write.parquet(f"{folder}/empty.parquet")
+    rows.drop("x").withColumn("extra", F.lit(1)).coalesce(1).write.parquet(f"{folder}/less.parquet")
+    (tmp_path / "in" / "broken.parquet").write_text("no footer")
+    (tmp_path / "in" / "nothing.parquet").write_text("")
+    report = quarantine.file_report(spark, folder, schema).cache()
+    found = {r.file_name: (r.n_footer, r.n_read, r.reason) for r in report.collect()}
+    plain = found.pop("a b.parquet", None) or found.pop("a%20b.parquet")
+    assert plain == (10, 10, None) and found == {
+        "text.parquet": (10, 0, quarantine.ROWS), "empty.parquet": (0, 0, None), "less.parquet": (10, 10, None),
+        "broken.parquet": (0, 0, quarantine.FOOTER)}
+    rows.coalesce(1).write.parquet(f"{folder}/late.parquet")
+    taken = quarantine.sound_rows(spark, folder, schema, report)
+    assert taken.count() == 20 and taken.filter("x is null").count() == 10 and taken.columns == ["id", "x"]
+
+
+def test_a_sound_folder_is_read_whole(spark, tmp_path):
+    from airshed.sources import quarantine
+
+    rows = spark.range(10).select("id")
+    rows.write.parquet(f"{tmp_path}/a.parquet")
+    report = quarantine.file_report(spark, str(tmp_path), rows.schema)
+    assert report.filter("reason is not null").count() == 0
+    assert quarantine.sound_rows(spark, str(tmp_path), rows.schema, report).count() == 10
