@@ -97,30 +97,58 @@ def _weighted(node: Column, weight: Column) -> Column:
     return F.struct(node["iy"].alias("iy"), node["ix"].alias("ix"), weight.alias("weight"))
 
 
+def _stations_by_place(stations: DataFrame, step: float, method: str) -> DataFrame:
+    """One row per station: ``own``, its nodes with their weights, and ``place``, the nodes alone.
+
+    Rows that share a station's name are added up node by node first, so copies do not
+    lengthen ``own``.
+    """
+    nodes = corners(stations, step, method).groupBy("station_id", *NODE).agg(
+        F.sum("weight").alias("weight"), F.count("*").alias("copies"), F.max("needed").alias("needed")
+    )
+    own = F.array_sort(F.collect_list(F.struct(*NODE, "weight", "copies", "needed"))).alias("own")
+    place = F.transform("own", lambda n: F.struct(n["iy"].alias("iy"), n["ix"].alias("ix")))
+    return nodes.groupBy("station_id").agg(own).withColumn("place", place)
+
+
 def interpolate(daily: DataFrame, stations: DataFrame, step: float = fv.GRID_STEP,
                 method: str = "bilinear", salts: int = 8) -> DataFrame:
-    """Daily grid to station-days by an equi-join on integer node numbers.
-
-    A value is null when any node it needs is missing or null.  Many stations may
-    share one node, and each brings every day of it: the day is part of the salt,
-    so such a node is spread over ``salts`` tasks.  The sum over the nodes is
-    formed partly before its shuffle.
+    """Daily grid to station-days by equi-joins on integer node numbers.
+
+    A value is null when any node it needs is missing or null.  The values of all nodes
+    of a place (those one station needs) are gathered by day first: there are as many
+    places as cells in use, however many stations stand in them.  A station-day then is
+    one row of one join and no task holds station-days.  Many stations may share a place,
+    and each brings every day of it: the day is part of the salt, so such a place is
+    spread over ``salts`` tasks.
     """
-    salt = F.pmod(F.unix_date("date"), F.lit(salts))
-    nodes = daily.select(
+    nodes = daily.filter(F.col("date").isNotNull()).select(
         F.round(F.col("latitude") / step).cast("int").alias("iy"),
         F.round(F.col("longitude") / step).cast("int").alias("ix"),
-        salt.alias("_salt"), "date", *DAILY,
+        "date", *DAILY,
+    )
+    placed = _stations_by_place(stations, step, method)
+    of_place = placed.select("place").distinct().select("place", F.posexplode("place").alias("at", "n"))
+    values = of_place.select("place", "at", "n.iy", "n.ix").join(nodes, NODE)
+    days = values.groupBy("place", "date").agg(
+        F.array_sort(F.collect_list(F.struct("at", *DAILY))).alias("there")
     )
+    days = days.withColumn("_salt", F.pmod(F.unix_date("date"), F.lit(salts)))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    wanted = corners(stations, step, method).select("*", every_salt)
-    joined = nodes.join(wanted, [*NODE, "_salt"])
+    joined = placed.select("*", every_salt).join(days, ["place", "_salt"])
+
+    def own(n: Column, field: str) -> Column:
+        return F.get("own", n["at"])[field]
+
+    needed = F.array_max(F.transform("there", lambda n: own(n, "needed")))
 
     def total(c: str) -> Column:
-        found = F.count(c) == F.max("needed")
-        return F.when(found, F.sum(F.col("weight") * F.col(c))).alias(c)
+        found = F.aggregate("there", F.lit(0).cast("long"), lambda s, n: s + F.when(
+            n[c].isNotNull(), own(n, "copies")).otherwise(0))
+        whole = F.aggregate("there", F.lit(0.0), lambda s, n: s + F.coalesce(own(n, "weight") * n[c], F.lit(0.0)))
+        return F.when(found == F.col("needed"), whole).alias(c)
 
-    return joined.groupBy("station_id", "date").agg(*[total(c) for c in DAILY])
+    return joined.withColumn("needed", needed).select("station_id", "date", *[total(c) for c in DAILY])
 
 
 def station_weather(grid: DataFrame, stations: DataFrame, step: float = fv.GRID_STEP,

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -116,3 +117,21 @@ def test_days_are_utc_in_any_session(spark):
         assert [str(r.date) for r in gr.daily_grid(rows).collect()] == ["2024-01-01"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_no_task_holds_station_days(spark):
+    stations = spark.createDataFrame([("FR1", 45.1, 2.1)], "station_id string, latitude double, longitude double")
+    out = gr.interpolate(gr.daily_grid(cube(spark, SQUARE)), stations)
+    grouped = re.findall(r"Aggregate \[([^\]]*)\]", out._jdf.queryExecution().optimizedPlan().toString())
+    assert grouped and not any("station_id" in g and "date" in g for g in grouped)
+
+
+def test_repeated_and_nameless_stations(spark):
+    places = [("once", 45.0, 2.0), ("twice", 45.0, 2.0), ("twice", 45.0, 2.0),
+              # Two nodes, of which one is there, and one node: found 2, needed 2.
+              ("two", 45.0, 1.875), ("two", 45.25, 2.25), (None, 45.0, 2.25), ("nowhere", None, 2.0)]
+    stations = spark.createDataFrame(places, "station_id string, latitude double, longitude double")
+    rows = gr.interpolate(gr.daily_grid(cube(spark, SQUARE)), stations).collect()
+    assert {r.station_id: r.t2m for r in rows} == {
+        "once": pytest.approx(0.5), "twice": None, "two": pytest.approx(0.25 + 30.5), None: pytest.approx(10.5)}
+    assert len(rows) == 4
