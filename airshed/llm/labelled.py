@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from airshed.llm.memory import given_back
+
 
 def remainder(key: str, modulus: int) -> Column:
     """crc32 of the key's decimal text, modulo ``modulus``."""
@@ -62,7 +64,7 @@ def fit_once(rows: DataFrame, fit: Callable[[list[tuple]], bytes], max_bytes: in
                     size += len(t)
         yield pd.DataFrame({"model": [fit([(k, t, y, w) for (k, t), (y, w) in sorted(got.items())])]})
 
-    one = rows.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", "text").mapInPandas(run, "model binary")
+    one = rows.repartition(1).sortWithinPartitions(F.xxhash64("key"), "key", "text").mapInPandas(given_back(run), "model binary")
     found = one.first()
     return bytes(found["model"]) if found else fit([])
 
@@ -105,9 +107,12 @@ def score_column(text: Column, scorer: Callable[[], Callable[[str], float]]) ->
     """The score of a text as a column, in Arrow batches; null counts as empty."""
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = scorer()
-        for batch in batches:
-            yield pd.Series([score(t or "") for t in batch], dtype=np.float64)
+        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            score = scorer()
+            for batch in batches:
+                yield pd.Series([score(t or "") for t in batch], dtype=np.float64)
+
+        yield from given_back(scores)(batches)
 
     return run(text)
 

@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from airshed.llm import graphs
+from airshed.llm.memory import given_back
 from airshed.llm.words import WordHashes, mix, shingles
 from airshed.session import kept
 
@@ -89,7 +90,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                                 "sa": np.array(sa, dtype=np.int64), "sb": np.array(sb, dtype=np.int64),
                                 "bands": list(bands), "bins": list(bins)})
 
-    return rows.mapInPandas(run, "key long, n long, sa long, sb long, bands array<bigint>, bins binary")
+    return rows.mapInPandas(given_back(run), "key long, n long, sa long, sb long, bands array<bigint>, bins binary")
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
@@ -134,12 +135,16 @@ def _grouped(rows: DataFrame, keys: list[str], last: list[Column],
             yield done(rest)
 
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, *last)
-    return dealt.mapInPandas(run, out)
+    return dealt.mapInPandas(given_back(run, _forget), out)
 
 
 _HASHES = WordHashes()
 
 
+def _forget() -> None:
+    _HASHES.clear()
+
+
 def _sets(group: pd.DataFrame) -> list[np.ndarray]:
     return [shingles(_HASHES.of(t or "", lower=True), SHINGLE) for t in group["text"]]
 

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from airshed.llm.memory import give_back, given_back
+
 SEPARATOR = 0
 #: Byte-level pre-tokenizers never join across a space between two characters that are
 #: not white space, so the parts are encoded one by one and remembered.
@@ -301,7 +303,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", prompt: str |
             for _, part in batch.groupby(groups, sort=True):
                 yield part
 
-        for part in (p for batch in batches for p in parts(batch)):
+        def all_parts() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield from parts(batch)
+                give_back()  # a batch and its encodings are large beside what is remembered
+
+        for part in all_parts():
             keys = part["c0"].astype(object).where(part["c0"].notna(), None)
             texts = code([t or "" for t in part["c1"]])
             before = code([q or "" for q in part["c2"]]) if prompt else [b""] * len(part)
@@ -312,4 +319,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", prompt: str |
         yield rows_out()
 
     schema = f"key {kind}, {PIECES}" + (", ids binary" if with_ids else "")
+    run = given_back(run, lambda: encoder(tokenizer).forget())
     return rows.mapInPandas(run, schema).withColumnRenamed("key", key)
