@@ -23,8 +23,8 @@ def _by_day() -> Window:
 def join_weather(days: DataFrame, weather: DataFrame) -> DataFrame:
     """Attach station-day weather; every reading row is kept.
 
-    The readings are aggregated by (station_id, date), so Spark reuses their partitions;
-    only the weather, one finished row per station-day, is shuffled.
+    Both sides are dealt by (station_id, date), so Spark reuses those partitions and the
+    join itself shuffles nothing.
     """
     extra = [c for c in weather.columns if c not in ("year", "month", "country_code")]
     return days.join(weather.select(*extra), ["station_id", "date"], "left")

@@ -120,7 +120,7 @@ def interpolate(daily: DataFrame, stations: DataFrame, step: float = fv.GRID_STE
     places as cells in use, however many stations stand in them.  A station-day then is
     one row of one join and no task holds station-days.  Many stations may share a place,
     and each brings every day of it: the day is part of the salt, so such a place is
-    spread over ``salts`` tasks.
+    spread over ``salts`` tasks.  The rows are dealt by (station_id, date), as readings are.
     """
     nodes = daily.filter(F.col("date").isNotNull()).select(
         F.round(F.col("latitude") / step).cast("int").alias("iy"),
@@ -148,7 +148,8 @@ def interpolate(daily: DataFrame, stations: DataFrame, step: float = fv.GRID_STE
         whole = F.aggregate("there", F.lit(0.0), lambda s, n: s + F.coalesce(own(n, "weight") * n[c], F.lit(0.0)))
         return F.when(found == F.col("needed"), whole).alias(c)
 
-    return joined.withColumn("needed", needed).select("station_id", "date", *[total(c) for c in DAILY])
+    values = joined.withColumn("needed", needed).select("station_id", "date", *[total(c) for c in DAILY])
+    return values.repartition("station_id", "date")
 
 
 def station_weather(grid: DataFrame, stations: DataFrame, step: float = fv.GRID_STEP,
