@@ -112,30 +112,35 @@ def _stations_by_place(stations: DataFrame, step: float, method: str) -> DataFra
 
 
 def interpolate(daily: DataFrame, stations: DataFrame, step: float = fv.GRID_STEP,
-                method: str = "bilinear", salts: int = 8) -> DataFrame:
+                method: str = "bilinear", salts: int = 64) -> DataFrame:
     """Daily grid to station-days by equi-joins on integer node numbers.
 
     A value is null when any node it needs is missing or null.  The values of all nodes
     of a place (those one station needs) are gathered by day first: there are as many
     places as cells in use, however many stations stand in them.  A station-day then is
     one row of one join and no task holds station-days.  Many stations may share a place,
-    and each brings every day of it: the day is part of the salt, so such a place is
-    spread over ``salts`` tasks.  The rows are dealt by (station_id, date), as readings are.
+    and each brings every day of it: the stations of a place are cut into ``salts`` and its
+    days go to each salt that has stations.  This join makes far more rows than it reads, so
+    the bytes it reads say nothing about its tasks: both sides are dealt to the session's
+    number of shuffle partitions, which AQE does not merge.
+    The rows are dealt by (station_id, date), as readings are.
     """
     nodes = daily.filter(F.col("date").isNotNull()).select(
         F.round(F.col("latitude") / step).cast("int").alias("iy"),
         F.round(F.col("longitude") / step).cast("int").alias("ix"),
         "date", *DAILY,
     )
-    placed = _stations_by_place(stations, step, method)
-    of_place = placed.select("place").distinct().select("place", F.posexplode("place").alias("at", "n"))
-    values = of_place.select("place", "at", "n.iy", "n.ix").join(nodes, NODE)
-    days = values.groupBy("place", "date").agg(
+    placed = _stations_by_place(stations, step, method).withColumn(
+        "_salt", F.pmod(F.xxhash64("station_id"), F.lit(salts)))
+    of_place = placed.groupBy("place").agg(F.array_sort(F.collect_set("_salt")).alias("_salts"))
+    of_place = of_place.select("place", "_salts", F.posexplode("place").alias("at", "n"))
+    values = of_place.select("place", "_salts", "at", "n.iy", "n.ix").join(nodes, NODE)
+    days = values.groupBy("place", "_salts", "date").agg(
         F.array_sort(F.collect_list(F.struct("at", *DAILY))).alias("there")
     )
-    days = days.withColumn("_salt", F.pmod(F.unix_date("date"), F.lit(salts)))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    joined = placed.select("*", every_salt).join(days, ["place", "_salt"])
+    days = days.select("place", F.explode("_salts").alias("_salt"), "date", "there")
+    tasks, key = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["place", "_salt"]
+    joined = placed.repartition(tasks, *key).join(days.repartition(tasks, *key), key)
 
     def own(n: Column, field: str) -> Column:
         return F.get("own", n["at"])[field]

@@ -135,3 +135,14 @@ def test_repeated_and_nameless_stations(spark):
     assert {r.station_id: r.t2m for r in rows} == {
         "once": pytest.approx(0.5), "twice": None, "two": pytest.approx(0.25 + 30.5), None: pytest.approx(10.5)}
     assert len(rows) == 4
+
+
+def test_station_days_are_dealt_by_number(spark):
+    # 60 stations of one place: few bytes in, many rows out. AQE merges partitions by the bytes in.
+    stations = spark.createDataFrame([(f"FR{i}", 45.1, 2.1) for i in range(60)],
+                                     "station_id string, latitude double, longitude double")
+    out = gr.interpolate(gr.daily_grid(cube(spark, SQUARE, hours=24 * 8)), stations)
+    assert out.count() == 60 * 8
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(place#\w+, _salt#\w+, 8\), REPARTITION_BY_NUM", plan)
+    assert len(dealt) == 2
