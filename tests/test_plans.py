@@ -48,3 +48,9 @@ def test_country_filter_goes_below_the_window(spark, tmp_path):
     stored = spark.read.parquet(path)
     plan = plan_of(features.add_lags(stored.filter(F.col("country_code") == "FR")))
     assert "PartitionFilters: [isnotnull(country_code" in plan
+
+
+def test_station_days_are_not_merged_into_few_tasks(spark):
+    t = Inputs(spark, FOLDER)
+    for frame in (t.weather, features.join_weather(t.wide, t.weather)):
+        assert plan_of(frame).count("REPARTITION_BY_NUM") == 2
